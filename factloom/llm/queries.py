@@ -8,10 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, records
+from . import bpe, language, quality, records, toxicity
 from .common import table
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_language_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = language.train(docs)
+    return language.identify(docs.select("doc_id", "text"), profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op6_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.classify(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -36,6 +54,9 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_gam": op1_quality_gam,
+    "op4_language_ranks": op4_language_ranks,
+    "op6_toxicity_fm": op6_toxicity_fm,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_records": op8_token_records,
 }
