@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, quality, records, toxicity
+from . import bpe, language, neardup, quality, records, toxicity
 from .common import table
 
 
@@ -18,6 +18,11 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, k=3, percent=85)
+
+
 def op4_language_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = language.train(docs)
@@ -55,9 +60,31 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
+    "op2_minmax_neardup": op2_minmax_neardup,
     "op4_language_ranks": op4_language_ranks,
     "op6_toxicity_fm": op6_toxicity_fm,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_records": op8_token_records,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_minmax_neardup": r"""
+WITH RECURSIVE seq AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+      WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM seq),
+one AS (SELECT doc_id, unnest(s) AS g, len(s) AS n FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM one a JOIN one b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS component_id,
+  least(s.doc_id, coalesce(min(r.b), s.doc_id)) = s.doc_id AS kept
+FROM sets s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s
+""",
+}
