@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, neardup, quality, records, toxicity
+from . import bpe, decontaminate, language, neardup, quality, records, shards, toxicity
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op4_language_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), profiles).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -58,13 +62,29 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    data = F.coalesce("text", F.lit("")).cast("binary")
+    return shards.shuffle_into(docs, "doc_id", 16).select(
+        "doc_id",
+        (F.octet_length(data) + 1).cast("long").alias("size"),
+        F.crc32(data).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_minmax_neardup": op2_minmax_neardup,
     "op4_language_ranks": op4_language_ranks,
+    "op5_template_leaks": op5_template_leaks,
     "op6_toxicity_fm": op6_toxicity_fm,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_records": op8_token_records,
+    "op9_hypergeometric_shards": op9_hypergeometric_shards,
 }
 SQL: dict[str, str] = {
     "op2_minmax_neardup": r"""
