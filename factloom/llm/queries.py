@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, neardup, quality, records, shards, toxicity
+from . import bpe, decontaminate, fingerprints, language, neardup, quality, records, shards, toxicity
 from .common import table
 
 
@@ -23,6 +23,18 @@ def op2_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, k=3, percent=85)
 
 
+def op3_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op4_language_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = language.train(docs)
@@ -79,6 +91,7 @@ def op9_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_minmax_neardup": op2_minmax_neardup,
+    "op3_iblt_fingerprints": op3_iblt_fingerprints,
     "op4_language_ranks": op4_language_ranks,
     "op5_template_leaks": op5_template_leaks,
     "op6_toxicity_fm": op6_toxicity_fm,
