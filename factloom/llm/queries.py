@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprints, language, neardup, quality, records, shards, toxicity
+from . import bpe, decontaminate, fingerprints, language, neardup, quality, records, shards, toxicity, urlfilter
 from .common import table
 
 
@@ -88,6 +88,39 @@ def op9_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The list history that op10 evaluates (kind, value, action, day, change).
+URL_LIST = [
+    ("domain", "spam-farm.example.org", "block", "2023-02-01", "add"),
+    ("domain", "spam-farm.example.org", "block", "2023-09-01", "remove"),
+    ("domain", "spam-farm.example.org", "block", "2024-03-01", "add"),
+    ("domain", "free-bets.example.net", "block", "2023-01-15", "add"),
+    ("domain", "casino-win.example.net", "block", "2023-01-01", "add"),
+    ("host", "blog.casino-win.example.net", "allow", "2023-06-01", "add"),
+    ("host", "blog.casino-win.example.net", "allow", "2023-08-01", "remove"),
+    ("host", "adult-x.example.com", "block", "2023-01-01", "add"),
+    ("prefix", "adult-x.example.com/en", "allow", "2024-01-01", "add"),
+    ("domain", "cheap-pills.example.com", "block", "2023-04-01", "add"),
+    ("domain", "cheap-pills.example.com", "allow", "2024-06-01", "add"),
+    ("domain", "example.org", "allow", "2023-01-01", "add"),
+    ("prefix", "tionsh.example.net/de", "block", "2023-05-01", "add"),
+    ("prefix", "tionsh.example.net/de", "block", "2023-05-31", "remove"),
+    ("domain", "tionsh.example.net", "allow", "2023-05-10", "add"),
+    ("host", "m.ththan.example.net", "block", "2023-03-01", "add"),
+    ("host", "m.ththan.example.net", "block", "2023-03-01", "remove"),
+]
+
+
+def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages have no fetch time, so a day in 2023 or 2024 is derived from the id."""
+    rows = [(*row, i) for i, row in enumerate(URL_LIST)]
+    entries = spark.createDataFrame(rows, "kind string, value string, action string, day string, change string, seq int")
+    day = F.date_add(F.lit("2023-01-01").cast("date"), F.pmod(F.col("page_id") * 37, F.lit(731)).cast("int"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", day.alias("fetched"))
+    return urlfilter.evaluate(pages, entries).withColumns(
+        {c: F.col(c).cast("string") for c in ("fetched", "entry_since")}
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_minmax_neardup": op2_minmax_neardup,
@@ -98,8 +131,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_records": op8_token_records,
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
+    "op10_url_lists": op10_url_lists,
 }
+_LIST_SQL = ", ".join(f"({i}, {', '.join(repr(x) for x in row)})" for i, row in enumerate(URL_LIST))
 SQL: dict[str, str] = {
+    "op10_url_lists": rf"""
+WITH list(seq, kind, value, action, day, change) AS (VALUES {_LIST_SQL}),
+last AS (
+  SELECT kind, value, action, change, CAST(day AS DATE) AS since FROM list l
+  WHERE seq = (SELECT max(seq) FROM list m WHERE m.kind = l.kind AND m.value = l.value AND m.day = l.day)),
+valid AS (
+  SELECT * FROM (SELECT *, lead(since) OVER (PARTITION BY kind, value ORDER BY since) AS until FROM last)
+  WHERE change = 'add'),
+cap AS (
+  SELECT page_id, lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) AS host,
+    trim(lower(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1)), '/') AS path,
+    DATE '2023-01-01' + CAST((page_id * 37) % 731 AS INTEGER) AS fetched
+  FROM pages),
+met AS (
+  SELECT c.page_id, c.host, c.fetched, v.kind, v.value, v.since, v.action,
+    row_number() OVER (PARTITION BY c.page_id ORDER BY
+      CASE v.kind WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 ELSE 1 END DESC, length(v.value) DESC) AS place,
+    count(v.value) OVER (PARTITION BY c.page_id) AS active
+  FROM cap c LEFT JOIN valid v ON c.fetched >= v.since AND (v.until IS NULL OR c.fetched < v.until) AND (
+    (v.kind = 'host' AND c.host = v.value)
+    OR (v.kind = 'domain' AND (c.host = v.value OR ends_with(c.host, '.' || v.value)))
+    OR (v.kind = 'prefix' AND starts_with(c.host || '/' || c.path || '/', v.value || '/'))))
+SELECT page_id, host, CAST(fetched AS VARCHAR) AS fetched, active, kind AS entry_kind, value AS entry_value,
+  CAST(since AS VARCHAR) AS entry_since, coalesce(action, 'none') AS verdict, coalesce(action <> 'block', TRUE) AS kept
+FROM met WHERE place = 1
+""",
     "op2_minmax_neardup": r"""
 WITH RECURSIVE seq AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
