@@ -1,18 +1,18 @@
 """Operator 3: document fingerprints as invertible Bloom lookup tables, in DataFrame functions only.
 
-A text is cut into segments (sentences within lines, at most SEGMENT characters each); the digests of
-its distinct segments go into a table of cells, each holding a count, the XOR of its digests and the
-XOR of their checks. The tables of two versions subtract cell by cell, what they share cancels, and
-peeling cells of a single digest recovers the digests that differ. A difference too large for the base
-table is tried again with more cells: digests are dealt into groups of about GROUP, each group with a
-table of its own, and a group that does not peel gets a larger one still.
-
-The fingerprint is the base table of the text, as text. Likeness of two texts is shared over all
-distinct digests, (a + b - d) / (a + b + d) for a and b digests with d of them unshared. Two texts that
-both have fewer than SHORT characters are compared by overlapping pairs of words instead, for which
-a fingerprint of such a text has a second table.
-
-Defined cases: a null text counts as empty; two texts without segments are alike (1.0), one without
+A text's paragraphs (its lines, cut on after a number of characters) are hashed; their distinct digests
+go into a table of cells, each holding a count, the XOR of its digests and the XOR of their checks.
+The tables of two versions subtract cell by cell, what they share cancels, and peeling cells of a
+single digest recovers the digests that differ. A difference too large for the base table is tried
+again with more cells: digests are dealt into groups of about GROUP, each group with a table of its
+own, and a group that does not peel gets a larger one still.
+
+Likeness of two texts is shared over all distinct digests, (a + b - d) / (a + b + d) for a and b digests
+with d of them unshared. LEVELS holds how fine paragraphs are cut for texts below a length; two texts are
+compared at the level of the longer one. The fingerprint is the base tables of the text, as text, at
+its own level and all coarser ones.
+
+Defined cases: a null text counts as empty; two texts without paragraphs are alike (1.0), one without
 and one with are not (0.0); ties in doc_id are ordered by text; null ids come last; a sole document
 is its own next one; an empty table gives an empty table; other columns are not used.
 """
@@ -22,9 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SEGMENT, SHORT, GROUP = 160, 600, 6
+#: (texts below so many characters, characters after which a line is cut), finest first.
+LEVELS = ((600, 32), (3000, 100), (None, 400))
+GROUP = 6
 #: Cells of each of a table's three parts: base table, groups' tables, and larger ones.
-BASE, WIDER = 4, (12, 40)
+BASE, WIDER = 4, (10, 40)
+ROUNDS = 7
 #: Documents of a stretch of ids, and most stretches.
 STRETCH, STRETCHES = 2048, 1 << 16
 
@@ -34,90 +37,70 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def segments(text: Column) -> Column:
-    """Distinct digests of sentences, cut at line ends and after SEGMENT characters."""
-    found = F.regexp_extract_all(text, F.lit(rf"[^\n.!?]{{1,{SEGMENT}}}[.!?]*|[.!?]+"), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(F.trim(s))))
-
-
-def word_pairs(text: Column) -> Column:
-    """Distinct digests of neighbouring words; of the word itself where there is one only."""
-    found = F.regexp_extract_all(text, F.lit(r"\S+"), F.lit(0))
-    return _let(
-        found,
-        lambda w: F.array_distinct(
-            F.when(F.size(w) < 2, F.transform(w, lambda x: F.xxhash64(x))).otherwise(
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))),
-                    lambda i: F.xxhash64(F.element_at(w, i), F.get(w, i)),
-                )
-            )
-        ),
-    )
+def paragraphs(text: Column, size: int) -> Column:
+    """Distinct digests of lines, cut on after every `size` characters."""
+    found = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{size}}}"), F.lit(0))
+    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
 
 
 def _cell(n: Column, k: Column, c: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), k.alias("k"), c.alias("c"))
 
 
-def _place(x: Column, part: int, cells: int) -> Column:
-    return F.pmod(F.shiftright(x, 21 * part), F.lit(cells)).cast("int")
+def _places(k: Column, cells: int) -> list[Column]:
+    """A digest's cells: one in each of the three parts of the table."""
+    return [(F.pmod(F.shiftright(k, 21 * p), F.lit(cells)).cast("int") + p * cells).alias(f"p{p}") for p in range(3)]
+
+
+def _at(x: Column, j: Column) -> Column:
+    return (x.p0 == j) | (x.p1 == j) | (x.p2 == j)
 
 
 def table(digests: Column, cells: int) -> Column:
-    """The cells of a digest array: three parts of `cells`, a digest is in one cell of each."""
+    """The cells of a digest array."""
     zero = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+    placed = F.transform(digests, lambda x: F.struct(x.alias("k"), F.xxhash64(x).alias("c"), *_places(x, cells)))
 
-    def part(p: int) -> Column:
-        def filled(j: Column) -> Column:
-            return F.aggregate(
-                F.filter(digests, lambda x: _place(x, p, cells) == j),
-                zero,
-                lambda s, x: _cell(s.n + 1, s.k.bitwiseXOR(x), s.c.bitwiseXOR(F.xxhash64(x))),
-            )
-
-        return F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), filled)
+    def filled(own: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(3 * cells - 1)),
+            lambda j: F.aggregate(
+                F.filter(own, lambda x: _at(x, j)), zero,
+                lambda s, x: _cell(s.n + 1, s.k.bitwiseXOR(x.k), s.c.bitwiseXOR(x.c)),
+            ),
+        )
 
-    return F.concat(*map(part, range(3)))
+    return _let(placed, filled)
 
 
 def subtract(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda p, q: _cell(p.n - q.n, p.k.bitwiseXOR(q.k), p.c.bitwiseXOR(q.c)))
 
 
-def peel(cells_: Column, cells: int, rounds: int) -> Column:
-    """The digests recovered from a difference table, or null where it does not peel empty."""
+def peel(cells_: Column, cells: int, rounds: int = ROUNDS) -> Column:
+    """How many digests peeling recovers, or null where it does not empty the difference table."""
 
     def step(s: Column, _: Column) -> Column:
         single = F.array_distinct(
             F.transform(
                 F.filter(s.t, lambda z: (F.abs(z.n) == 1) & (z.c == F.xxhash64(z.k))),
-                lambda z: F.struct(z.n.alias("n"), z.k.alias("k")),
+                lambda z: F.struct(z.n.alias("n"), z.k.alias("k"), z.c.alias("c"), *_places(z.k, cells)),
             )
         )
 
         def take(found: Column) -> Column:
             def without(z: Column, j: Column) -> Column:
-                mine = F.filter(
-                    found,
-                    lambda u: F.when(j < cells, _place(u.k, 0, cells) == j)
-                    .when(j < 2 * cells, _place(u.k, 1, cells) == j - cells)
-                    .otherwise(_place(u.k, 2, cells) == j - 2 * cells),
-                )
                 return F.aggregate(
-                    mine, z,
-                    lambda w, u: _cell(w.n - u.n, w.k.bitwiseXOR(u.k), w.c.bitwiseXOR(F.xxhash64(u.k))),
+                    F.filter(found, lambda u: _at(u, j)), z,
+                    lambda w, u: _cell(w.n - u.n, w.k.bitwiseXOR(u.k), w.c.bitwiseXOR(u.c)),
                 )
 
-            return F.when(F.size(found) == 0, s).otherwise(
-                F.struct(
-                    F.transform(s.t, without).alias("t"), F.concat(s.got, F.transform(found, lambda u: u.k)).alias("got")
-                )
-            )
+            more = F.struct(F.transform(s.t, without).alias("t"), (s.got + F.size(found)).alias("got"), (F.size(found) == 0).alias("end"))
+            return F.when(F.size(found) == 0, F.struct(s.t.alias("t"), s.got.alias("got"), F.lit(True).alias("end"))).otherwise(more)
 
-        return _let(single, take)
+        return F.when(s.end, s).otherwise(_let(single, take))
 
-    start = F.struct(cells_.alias("t"), F.array().cast("array<bigint>").alias("got"))
+    start = F.struct(cells_.alias("t"), F.lit(0).alias("got"), F.lit(False).alias("end"))
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(rounds)), start, step,
         lambda s: F.when(~F.exists(s.t, lambda z: (z.n != 0) | (z.k != 0) | (z.c != 0)), s.got),
@@ -128,7 +111,7 @@ def unshared(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
     """How many digests are in one array only, by peeling tables that grow until they yield."""
 
     def tried(x: Column, y: Column, cells: int) -> Column:
-        return F.size(peel(subtract(table(x, cells), table(y, cells)), cells, 10))
+        return peel(subtract(table(x, cells), table(y, cells)), cells)
 
     def grouped() -> Column:
         groups = F.ceil(F.greatest(F.size(a), F.size(b), F.lit(1)) / GROUP).cast("int")
@@ -138,7 +121,7 @@ def unshared(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
                 return F.filter(v, lambda x: F.pmod(F.shiftright(x, 46), groups).cast("int") == g)
 
             def count(pair: Column) -> Column:
-                # size() of null is null: the next table is built only where this one did not peel
+                # coalesce() builds the next table only where this one did not peel
                 return F.coalesce(
                     *(tried(pair.a, pair.b, c) for c in WIDER),
                     F.size(F.array_except(pair.a, pair.b)) + F.size(F.array_except(pair.b, pair.a)),
@@ -150,7 +133,7 @@ def unshared(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
             F.transform(F.sequence(F.lit(0), groups - 1), one), F.lit(0), lambda s, x: s + x
         )
 
-    return F.coalesce(F.size(peel(subtract(base_a, base_b), BASE, 5)), grouped())
+    return F.coalesce(peel(subtract(base_a, base_b), BASE), grouped())
 
 
 def likeness(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
@@ -210,25 +193,41 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     sides = {"text": "own", "edited": "new", "next_text": "next"}
     for text, name in sides.items():
-        short = F.char_length(text) < SHORT
-        rows = rows.withColumns(
-            {f"{name}_s": segments(F.col(text)), f"{name}_w": F.when(short, word_pairs(F.col(text)))}
-        )
-    for name in sides.values():
-        rows = rows.withColumns(
-            {f"{name}_st": table(F.col(f"{name}_s"), BASE), f"{name}_wt": F.when(F.col(f"{name}_w").isNotNull(), table(F.col(f"{name}_w"), BASE))}
-        )
-
-    def near(x: str, y: str) -> Column:
-        fine = F.col(f"{x}_w").isNotNull() & F.col(f"{y}_w").isNotNull()
-        of = lambda k: [F.col(f"{v}_{k}{t}") for t in ("", "t") for v in (x, y)]
-        return F.when(fine, likeness(*of("w"))).otherwise(likeness(*of("s")))
+        found = []
+        for below, size in LEVELS:
+            fits = F.lit(True) if below is None else F.char_length(text) < below
+            found.append(F.when(fits, paragraphs(F.col(text), size)))
+        rows = rows.withColumn(name, F.array(*found))
+    # one expression makes all tables, one all comparisons: the plan stays small
+    rows = rows.withColumn(
+        "tables",
+        F.transform(
+            F.array(*sides.values()),
+            lambda side: F.transform(side, lambda d: F.when(d.isNotNull(), F.struct(d.alias("d"), table(d, BASE).alias("t")))),
+        ),
+    )
+    own, new, following = (F.get("tables", F.lit(i)) for i in range(3))
+
+    def pair(other: Column, text: str) -> Column:
+        longer = F.greatest(F.char_length("text"), F.char_length(text))
+        level = F.lit(len(LEVELS) - 1)
+        for i in reversed(range(len(LEVELS) - 1)):
+            level = F.when(longer < LEVELS[i][0], F.lit(i)).otherwise(level)
+        return F.struct(F.get(own, level).alias("x"), F.get(other, level).alias("y"))
+
+    rows = rows.withColumn(
+        "near",
+        F.transform(
+            F.array(pair(new, "edited"), pair(following, "next_text")),
+            lambda p: likeness(p.x.d, p.y.d, p.x.t, p.y.t),
+        ),
+    )
 
-    def printed(x: str) -> Column:
-        return F.concat_ws("/", spelled(F.col(f"{x}_s"), F.col(f"{x}_st")), spelled(F.col(f"{x}_w"), F.col(f"{x}_wt")))
+    def printed(side: Column) -> Column:
+        return F.array_join(F.transform(F.filter(side, lambda z: z.isNotNull()), lambda z: spelled(z.d, z.t)), "/")
 
     return rows.select(
         "doc_id", "n_chars", "edited",
-        printed("own").alias("fingerprint"), printed("new").alias("edited_fingerprint"),
-        near("own", "new").alias("near_edited"), near("own", "next").alias("near_next"),
+        printed(own).alias("fingerprint"), printed(new).alias("edited_fingerprint"),
+        F.get("near", F.lit(0)).alias("near_edited"), F.get("near", F.lit(1)).alias("near_next"),
     )
