@@ -20,13 +20,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import annotate, texts
-from .pieces import Memory, chunks
+from .pieces import Joined, chunks
 
 LONGEST = 2048
-ENTRIES = 500_000
+ENTRIES = 450_000
 NONE = np.int32(2**31 - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -215,14 +216,14 @@ class BytePairs:
         return self.bytes[index + np.repeat(self.starts[ids] - (ends - size), size)]
 
 
-_LOADED: dict[tuple[str, str], tuple[BytePairs, Memory]] = {}
+_LOADED: dict[tuple[str, str], tuple[BytePairs, Joined]] = {}
 
 
-def loaded(path: str, pattern: str) -> tuple[BytePairs, Memory]:
+def loaded(path: str, pattern: str) -> tuple[BytePairs, Joined]:
     """The vocabulary and its memory, once for each Python worker."""
     if (path, pattern) not in _LOADED:
         pairs = BytePairs.from_file(path, pattern)
-        _LOADED[path, pattern] = pairs, Memory(pairs.encode_chunks, ENTRIES)
+        _LOADED[path, pattern] = pairs, Joined(pairs.encode_chunks, ENTRIES)
     return _LOADED[path, pattern]
 
 
@@ -240,9 +241,8 @@ def encode_decode(df: DataFrame, path: str, pattern: str, text: str = "text") ->
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         pairs, _ = loaded(path, pattern)
         outs: list[list[pa.Array]] = [[], []]
-        docs = texts(batch, text)
-        for at in range(0, len(docs), 500):  # bounds the flat arrays
-            ids, counts = encode_texts(docs[at : at + 500], path, pattern)
+        for at in range(0, len(batch), 500):  # bounds the strings and flat arrays held at once
+            ids, counts = encode_texts(texts(batch.slice(at, 500), text), path, pattern)
             ends = np.concatenate([[0], np.cumsum(counts)])
             outs[0].append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
             sizes = np.concatenate([[0], np.cumsum(pairs.lengths[ids])])[ends]
@@ -252,9 +252,19 @@ def encode_decode(df: DataFrame, path: str, pattern: str, text: str = "text") ->
                     pa.binary(), len(counts), [None, pa.py_buffer(sizes.astype(np.int32)), pa.py_buffer(data)]
                 )
             )
-        if not docs:
+        if not len(batch):
             return [pa.array([], pa.list_(pa.int32())), pa.array([], pa.binary())]
         return [pa.concat_arrays(x) for x in outs]
 
     made = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
     return annotate(df, made, run)
+
+
+def digests(coded: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, and sha256 of the ids (decimal, joined by commas) and of the decoded bytes."""
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

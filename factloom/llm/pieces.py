@@ -28,18 +28,20 @@ def chunks(text: str) -> list[str]:
 
 
 class Memory:
-    """What each chunk gave, for up to `entries` chunks; past that it starts anew.
+    """What each chunk gave, for up to `entries` chunks; past that only short ones stay.
 
     `make` answers a list of new chunks at once. Chunks longer than `longest` characters are
     answered but not kept, so the bytes held have a bound too."""
 
-    def __init__(self, make: Callable[[list[str]], Sequence[Any]], entries: int, longest: int = 64):
-        self.make, self.entries, self.longest, self.known = make, entries, longest, {}
+    def __init__(self, make: Callable[[list[str]], Sequence[Any]], entries: int, longest: int = 64, short: int = 8):
+        self.make, self.entries, self.longest, self.short, self.known = make, entries, longest, short, {}
 
     def of(self, docs: list[list[str]]) -> list[list[Any]]:
         known = self.known
-        if len(known) > self.entries:
+        if len(known) > self.entries:  # short chunks recur most
+            short = {c: v for c, v in known.items() if len(c) <= self.short}
             known.clear()
+            known.update(short if len(short) <= self.entries // 2 else {})
         new = list(set().union(*docs).difference(known))
         extra: dict[str, Any] = {}
         if new:
@@ -49,3 +51,41 @@ class Memory:
         if not extra:
             return [list(map(known.__getitem__, d)) for d in docs]
         return [[known[c] if c in known else extra[c] for c in d] for d in docs]
+
+
+_MARKS = ".,;:!?*#$%&|"
+
+
+def plain(chunk: str) -> list[str]:
+    """The pieces of words, marks after them and single line ends; any other chunk stays one."""
+    out: list[str] = []
+    for i, line in enumerate(chunk.split("\n")):
+        word = line.rstrip(_MARKS)
+        if not (word[1:] if word[:1] == " " and not i else word).isalpha():
+            return [chunk]
+        if i:
+            out.append("\n")
+        out.append(word)
+        if len(word) < len(line):
+            out.append(line[len(word) :])
+    return out
+
+
+class Joined(Memory):
+    """A memory of byte strings that answers a plain chunk from its pieces, which recur more."""
+
+    def __init__(self, make: Callable[[list[str]], Sequence[bytes]], entries: int, longest: int = 64):
+        self.parts = make
+        super().__init__(self._join, entries, longest)
+
+    def _join(self, new: list[str]) -> list[bytes]:
+        known = self.known
+        split = [[c] if c[1:].isalpha() and c[0] != "\n" else plain(c) for c in new]
+        missing = list({p for ps in split for p in ps}.difference(known))
+        made = dict(zip(missing, self.parts(missing), strict=True))
+        known.update((p, v) for p, v in made.items() if len(p) <= self.longest)
+        out = []
+        for ps in split:
+            values = [known[p] if p in known else made[p] for p in ps]
+            out.append(values[0] if len(values) == 1 else b"".join(values))
+        return out

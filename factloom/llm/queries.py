@@ -54,13 +54,7 @@ def op6_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode_decode(docs, path, public_tokenizers.PATTERN)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(bpe.encode_decode(docs, path, public_tokenizers.PATTERN))
 
 
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
