@@ -81,7 +81,7 @@ def strict_utc(text: Column) -> Column:
 def unsigned(text: Column, most: int = U64_MAX) -> Column:
     """A canonical decimal string within bounds, as decimal(20,0); null for anything else."""
     value = F.when(text.rlike(r"^(0|[1-9][0-9]{0,19})$"), text.cast("decimal(20,0)"))
-    return F.when(value <= F.lit(most).cast("decimal(20,0)"), value)
+    return F.when(value <= F.lit(str(most)).cast("decimal(20,0)"), value)
 
 
 def sequence_key(text: Column) -> Column:
