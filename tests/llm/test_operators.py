@@ -1,0 +1,248 @@
+"""Small fixtures against brute force; nulls, empties, repeats, clashing columns and empty tables."""
+
+import base64
+import hashlib
+import re
+import zlib
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from factloom.llm import (
+    bpe, decontaminate, fingerprints, language, neardup, pieces, quality, records, shards, toxicity, urlfilter,
+)
+
+RANKS = P.path("byte_bpe_multi_50k.tiktoken")
+WORDS = "the of and river stone quiet garden market window paper engine morning winter candle silver travel bridge".split()
+
+
+def prose(seed, n):
+    rng = np.random.default_rng(seed)
+    return " ".join(WORDS[i] + ("." if rng.random() < 0.1 else "") for i in rng.integers(0, len(WORDS), n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    base = prose(1, 120)
+    near = base.replace("river", "lake", 1)
+    odd = ["", None, " \t\n ", "one", "two words", "é中文 ab\x1c\x85 　x", "a" * 3000, base, base, base.upper(), near, near + " end", prose(3, 40), prose(4, 4000)]
+    return odd
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, "en", i * 2.0) for i, t in enumerate(texts)] + [(None, "no id here", None, 0.0), (7, texts[7], "en", 1.0)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+
+
+def test_plain_chunks_rejoin():
+    for t in ("a b", " a", "a  b", "x.\nY z", "1 2\n\n3", "\n", " "):
+        assert "".join(pieces.chunks(t)) == t
+        assert all("".join(pieces.plain(c)) == c for c in pieces.chunks(t))
+
+
+def test_bpe_equals_the_library(docs, texts):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = bpe.encode_decode(docs.withColumn("ids", F.lit(1)), RANKS, P.PATTERN).collect()
+    assert len(got) == len(texts) + 2
+    for r in got:
+        assert list(r.ids) == enc.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
+    rng = np.random.default_rng(5)
+    alphabet = list("ab  \n\té'sZ9中.,!😀　\x1c")
+    for _ in range(300):
+        t = "".join(rng.choice(alphabet, rng.integers(0, 40)))
+        assert bpe.encode_texts([t], RANKS, P.PATTERN)[0].tolist() == enc.encode_ordinary(t)
+
+
+def test_bpe_long_pieces_take_the_heap():
+    pairs = bpe.loaded(RANKS, P.PATTERN)[0]
+    for word in (b"thequickbrownfox" * 20, b"abab" * 60, b"=-" * 90):
+        assert pairs._long(word).tobytes() == pairs.encode_pieces([word])[0]
+
+
+def test_records_round_trip(spark, docs, texts):
+    path = P.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    folder = records.new_folder(spark)
+    records.write(docs, folder, path)
+    got = records.read(spark, folder).orderBy("start").collect()
+    want = sorted([(-1, "no id here")] + [(i, t or "") for i, t in enumerate(texts)] + [(7, texts[7])], key=lambda x: x[0])
+    start = 0
+    for r, (i, t) in zip(got, want, strict=True):
+        ids = np.array([*tok.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        assert (r.doc_id, r.start, bytes(r.ids)) == (None if i < 0 else i, start, ids.tobytes())
+        start += len(ids)
+    empty = records.new_folder(spark)
+    records.write(docs.limit(0), empty, path)
+    assert records.read(spark, empty).count() == 0
+
+
+def test_record_checksums():
+    data = records.frame(b"payload")
+    assert records.unframed(data, 0) == b"payload"
+    for i in (0, 9, 13, len(data) - 1):
+        broken = bytearray(data)
+        broken[i] ^= 1
+        with pytest.raises((ValueError, Exception)):
+            records.unframed(bytes(broken), 0)
+
+
+def brute_components(texts, k, percent):
+    def grams(t):
+        w = (t or "").encode().lower().split()
+        return {tuple(w)} if 0 < len(w) < k else {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+
+    sets = [grams(t) for t in texts]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for a, b in combinations(range(len(texts)), 2):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                label[a] = label[b] = min(label[a], label[b])
+    return [len(s) for s in sets], label
+
+
+def test_near_duplicates_match_brute_force(spark, docs, texts):
+    got = neardup.near_duplicates(docs, k=3, percent=85).collect()
+    sizes, label = brute_components(texts, 3, 85)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == (sizes[r.doc_id], label[r.doc_id], label[r.doc_id] == r.doc_id)
+    assert neardup.near_duplicates(docs.limit(0), k=3, percent=85).count() == 0
+    left = neardup.one_of_each(docs, k=3, percent=85)
+    assert left.columns == docs.columns
+    assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted({x for i, x in enumerate(label)})
+
+
+def test_fingerprints_match_brute_force(spark, docs, texts):
+    plain = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    got = {r.doc_id: r for r in fingerprints.fingerprints(plain).collect()}
+
+    def near(a, b):
+        m = max(len(a), len(b))
+        size = next(s for below, s in fingerprints.LEVELS if below is None or m < below)
+        x, y = (set(re.findall(rf"[^\n]{{1,{size}}}", t)) for t in (a, b))
+        return len(x & y) / len(x | y) if x | y else 1.0
+
+    n = len(texts)
+    for i, t in enumerate(texts):
+        t, after = t or "", texts[(i - 1) % n] or ""
+        third = len(t) // 3
+        edited = t[: len(t) - third] + after[:third]
+        assert got[i].edited == edited and got[i].n_chars == len(t)
+        assert abs(got[i].near_edited - near(t, edited)) < 1e-12 and abs(got[i].near_next - near(t, after)) < 1e-12
+    assert got[7].fingerprint == got[8].fingerprint != got[10].fingerprint
+    assert fingerprints.fingerprints(plain.limit(0)).count() == 0
+
+
+def test_language_ranks(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the hat then", "aa"), ("ñandú ñoño años", "bb")] * 40)]
+    rows += [(100, None, None), (101, "123 !", "aa"), (102, "then the hat", None), (103, "ñoños", " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify(docs, language.train(docs)).collect()}
+    assert (got[100].lang_pred, got[101].lang_pred, got[100].score) == ("und", "und", 0.0)
+    assert (got[102].lang_pred, got[103].lang_pred) == ("aa", "bb")
+    assert got[5].held_out == (zlib.crc32(b"5") % 4 == 2)
+    none = language.train(docs.limit(0))
+    assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
+
+
+def classifier_rows(spark):
+    rng = np.random.default_rng(2)
+    rows, labels = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        text = prose(i, 60)
+        rows.append((i, text.upper() + " !!" if bad else text, prose(i, 40) + (" nasty rotten" if bad else "")))
+        labels.append((i, int(not bad), int(bad)))
+    rows += [(900, None, None), (901, "", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other string")
+    return docs, spark.createDataFrame([*labels, (None, 1, 0), (5, None, None)], "doc_id long, quality int, toxic int"), rng
+
+
+@pytest.mark.parametrize(("module", "label", "column"), [(quality, "quality", "text"), (toxicity, "toxic", "other")])
+def test_classifiers_learn_and_hold_out(spark, module, label, column):
+    docs, labels, _ = classifier_rows(spark)
+    docs = docs.select("doc_id", F.col(column).alias("text"), F.lit(3).alias("Score"))
+    got = module.classify(docs, module.train(docs, labels)).toPandas()
+    assert len(got) == 402 and got["score"].between(0, 1).all()
+    truth = labels.dropna().toPandas().set_index("doc_id")[label]
+    held = got[got.held_out & got.doc_id.isin(truth.index)]
+    assert (held.predicted.to_numpy() == truth.loc[held.doc_id].to_numpy()).mean() > 0.95
+    blank = module.classify(docs, module.train(docs, labels.limit(0)))
+    assert blank.select("score").distinct().count() == 1
+
+
+def test_leaks_and_slots(spark):
+    bench = spark.createDataFrame(
+        [(1, "Tom buys 3 apples and gives Ann 3 pears on the 5 km road to Rome today"), (2, "short one"), (3, None)], "item_id long, text string"
+    )
+    docs = spark.createDataFrame(
+        [
+            (1, "Well. Tom buys 3 apples and gives Ann 3 pears on the 5 km road to Rome today. Yes."),
+            (2, "Bob buys 7 apples and gives Eve 7 pears on the 9 miles road to Bern today"),
+            (3, "Bob buys 7 apples and gives Eve 8 pears on the 9 miles road to Bern today"),  # 3 stands for two values
+            (4, prose(9, 50)), (5, None), (6, ""), (None, "Tom buys 3 apples and gives Ann 3 pears on the 5 km road to Rome today"),
+        ],
+        "doc_id long, text string",
+    )
+    got = decontaminate.leaks(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 1)]
+    assert decontaminate.leaks(docs, bench.limit(0)).count() == decontaminate.leaks(docs.limit(0), bench).count() == 0
+
+
+def test_shards_are_exact_and_repeatable(spark):
+    docs = spark.range(1003).select((F.col("id") % 1000).alias("doc_id"), F.lit("x").alias("text"), F.lit(1).alias("slot"))
+    run = lambda: shards.shuffle_into(docs, "doc_id", 16, rows=50).toPandas()
+    got = run()
+    sizes = got.groupby("shard")["slot"].agg(["min", "max", "count", "nunique"])
+    assert len(got) == 1003 and len(sizes) == 16 and set(sizes["count"]) == {62, 63}
+    assert (sizes["min"] == 0).all() and (sizes["max"] + 1 == sizes["count"]).all() and (sizes["nunique"] == sizes["count"]).all()
+    key = ["shard", "slot"]
+    assert got.sort_values(key)["doc_id"].tolist() == run().sort_values(key)["doc_id"].tolist()
+    assert shards.shuffle_into(docs.limit(0), "doc_id", 16).count() == 0
+
+
+def test_matrix_margins():
+    parts, want = np.array([5, 0, 17, 8]), np.array([10, 10, 10])
+    m = shards.matrix(parts, want, 3)
+    assert (m.sum(axis=1) == parts).all() and (m.sum(axis=0) == want).all()
+    mean = np.mean([shards.matrix(parts, want, s)[2, 0] for s in range(400)])
+    assert abs(mean - 17 / 3) < 0.3
+
+
+def test_url_lists(spark):
+    entries = spark.createDataFrame(
+        [
+            ("domain", "bad.org", "block", "2024-01-10", "add", 0), ("domain", "bad.org", "block", "2024-02-01", "remove", 1),
+            ("prefix", "x.bad.org/ok", "allow", "2024-01-15", "add", 2), ("host", "y.org", "block", "2024-01-01", "add", 3),
+            ("host", "y.org", "block", "2024-01-01", "remove", 4), (None, "z", "block", "2024-01-01", "add", 5),
+        ],
+        "kind string, value string, action string, day string, change string, seq int",
+    )
+    pages = spark.createDataFrame(
+        [
+            (1, "http://X.bad.org:80/OK/a?q", "2024-01-20"), (2, "http://x.bad.org/okay", "2024-01-20"), (3, "http://bad.org", "2024-02-01"),
+            (4, "http://u@bad.org/", "2024-01-10"), (5, None, "2024-01-20"), (6, "nonsense", "2024-01-20"), (7, "http://y.org/", "2024-03-01"),
+            (8, "http://bad.org/", None), (4, "http://u@bad.org/", "2024-01-10"), (9, "http://notbad.org/", "2024-01-20"),
+        ],
+        "page_id long, url string, fetched string",
+    )
+    got = urlfilter.evaluate(pages, entries).collect()
+    assert len(got) == 10 and sum(r.page_id == 4 for r in got) == 2
+    verdict = {r.page_id: r.verdict for r in got}
+    assert verdict == {1: "allow", 2: "block", 3: "none", 4: "block", 5: "none", 6: "none", 7: "none", 8: "none", 9: "none"}
+    assert urlfilter.evaluate(pages.limit(0), entries.limit(0)).count() == 0
+
+
+def test_digests(docs):
+    row = bpe.digests(bpe.encode_decode(docs.where("doc_id = 3"), RANKS, P.PATTERN)).first()
+    assert row.decoded_sha256 == hashlib.sha256(b"one").hexdigest()
