@@ -79,3 +79,8 @@ def outcome_of_redelivery(df: DataFrame, keys: Sequence[str], content: str) -> D
     )
     outcome = F.when(F.col("deliveries") == 1, "accepted").when(F.col("_lo") == F.col("_hi"), "duplicate").otherwise("conflict")
     return stats.select(*keys, "deliveries", outcome.alias("outcome"))
+
+
+def difference(want: DataFrame, got: DataFrame) -> DataFrame:
+    """Rows of one side only, as often as they exceed the other: side is missing or extra."""
+    return want.exceptAll(got).withColumn("side", F.lit("missing")).unionByName(got.exceptAll(want).withColumn("side", F.lit("extra")))

@@ -433,3 +433,82 @@ def fact_index_union(spark, d):
         for kind, t, task, at in (("line", "lineitem", "l_orderkey", "l_shipdate"), ("order", "orders", "o_orderkey", "o_orderdate"), ("event", "events", "user_id", "ts"))
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@_query("SELECT event_id, 'sha256:' || sha256('{\"k\":' || CAST(json_extract_string(props, '$.k') AS BIGINT) || '}') AS payload_hash FROM events")
+def canonical_payload_hash(spark, d):
+    from ..functions import canonical
+
+    made = canonical.canonical_column(F.col("props"), canonical.DOMAIN)
+    return _t(spark, d, "events").select("event_id", made["hash"].alias("payload_hash"))
+
+
+@_query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+def stream_lookback_dedup(spark, d):
+    from ..streaming import lanes
+
+    schema = _t(spark, d, "lineitem").schema
+    stream = spark.readStream.schema(schema).parquet(f"{d}/lineitem.parquet*")
+    rows = stream.select(*_LINE, F.col("l_shipdate").cast("timestamp").alias("ts"))
+    # one look-back over the whole range, so that every repeat lies within it
+    return lanes.to_table(lanes.deduplicated(rows, "ts", _LINE, "20000 days").select(*_LINE))
+
+
+@_query("""WITH s AS (SELECT conv_id, max(turn) AS last, count(*) AS n FROM conversations GROUP BY 1)
+SELECT conv_id, n = last + 1 AS seal_verified FROM s""")
+def seal_completeness(spark, d):
+    from ..sources import contracts
+
+    scope = {c: F.lit("x") for c in ("tenantId", "projectId", "environment", "sourceContractId")}
+    records = _t(spark, d, "conversations").select(
+        F.col("conv_id").cast("string").alias("episodeId"), F.col("turn").cast("string").alias("sequence")
+    ).withColumns(scope)
+    seals = records.groupBy("episodeId").agg(F.max(F.col("sequence").cast("long")).alias("last")).select(
+        "episodeId", F.lit("1").alias("sealRevision"), F.col("last").cast("string").alias("finalSequence"),
+        (F.col("last") + 1).cast("string").alias("sourceRecordCount"), F.lit("sealed").alias("sealStatus"),
+    ).withColumns(scope)
+    return contracts.seal_completeness(records, seals).select(F.col("episodeId").cast("long").alias("conv_id"), "seal_verified")
+
+
+@_query("""SELECT side, count(*) AS n FROM (
+  (SELECT 'missing' AS side, event_id, event_type FROM events WHERE event_type <> 'view' EXCEPT ALL SELECT 'missing', event_id, event_type FROM events WHERE value > 10)
+  UNION ALL (SELECT 'extra', event_id, event_type FROM events WHERE value > 10 EXCEPT ALL SELECT 'extra', event_id, event_type FROM events WHERE event_type <> 'view'))
+GROUP BY side""")
+def exact_difference(spark, d):
+    events = _t(spark, d, "events").select("event_id", "event_type", "value")
+    want, got = events.where("event_type <> 'view'").drop("value"), events.where("value > 10").drop("value")
+    return reconcile.difference(want, got).groupBy("side").agg(F.count("*").alias("n"))
+
+
+@_query("""SELECT count(*) AS late_beyond_lookback FROM events
+WHERE ts < (SELECT min(ts) FROM events) + INTERVAL 10 DAY - INTERVAL 30 MINUTE""")
+def late_beyond_lookback(spark, d):
+    events = _t(spark, d, "events")
+    base = F.lit(events.agg(F.min("ts")).first()[0].isoformat(sep=" ")).cast("timestamp_ntz")
+    return paging.late(events, "ts", base + F.expr("INTERVAL 10 DAYS"), F.expr("INTERVAL 30 MINUTES"))
+
+
+@_query("""WITH g AS (SELECT l_orderkey, l_linenumber, l_orderkey % 97 <> 0 OR l_linenumber <> 2 AS good,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS place, min(l_linenumber) OVER (PARTITION BY l_orderkey) AS first
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)),
+b AS (SELECT l_orderkey, min(l_linenumber) AS bad FROM g WHERE NOT good GROUP BY 1)
+SELECT g.l_orderkey, g.l_linenumber FROM g LEFT JOIN b USING (l_orderkey) WHERE l_linenumber - first = place AND (bad IS NULL OR l_linenumber < bad)""")
+def torn_log_prefix(spark, d):
+    from ..streaming import lanes
+
+    frames = _t(spark, d, "lineitem").select(*_LINE).distinct().withColumn("body", F.concat_ws(":", *_LINE))
+    torn = (F.col("l_orderkey") % 97 == 0) & (F.col("l_linenumber") == 2)
+    frames = frames.withColumn("sum", F.when(torn, "torn").otherwise(F.sha2("body", 256)))
+    return lanes.torn_prefix(frames, "l_orderkey", "l_linenumber", "body", "sum").select(*_LINE)
+
+
+@_query("""SELECT CASE WHEN event_type = 'click' THEN 'canonical+specialized' ELSE 'canonical-only' END AS coverage,
+  CASE WHEN event_type = 'click' THEN 'specialised' WHEN event_type = 'view' THEN 'payload_lacks_columns' ELSE 'no_specialised_table' END AS reason,
+  count(DISTINCT event_type) AS n_types FROM events GROUP BY 1, 2""")
+def coverage_matrix(spark, d):
+    from . import projections
+
+    kind = F.col("event_type")
+    named = F.when(kind == "click", "node_control.a2a_exposure").when(kind == "view", "capability.readiness").otherwise(kind)
+    types = _t(spark, d, "events").select(named.alias("record_type")).distinct()
+    return projections.coverage(types).groupBy("coverage", "reason").agg(F.count("*").alias("n_types"))

@@ -6,6 +6,7 @@ overwrites it, so a micro-batch that is run again leaves the same rows."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,23 @@ def deduplicated(stream: DataFrame, time: str, identity: list[str], back: str =
     return stream.withWatermark(time, back).dropDuplicatesWithinWatermark(identity)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach: spark.checkpoint.dir, or a fresh one where it is unset (tests)."""
+    known = spark.conf.get("spark.checkpoint.dir", None)
+    if not known:
+        known = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", known)
+    return known.rstrip("/")
+
+
+def to_table(stream: DataFrame) -> DataFrame:
+    """Runs a stream over what its source holds now, to a table in the shared folder."""
+    path = f"{shared_folder(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+    writer = stream.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/log")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
+
+
 def written_once(df: DataFrame, path: str, batch_id: int, by: list[str] | None = None) -> None:
     """Writes a micro-batch's rows to its own folder, replacing what an earlier try left."""
     w = df.write.mode("overwrite").option("compression", "zstd")
