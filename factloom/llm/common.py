@@ -54,12 +54,12 @@ def dropped(df: DataFrame) -> None:
 
 
 def annotate(
-    df: DataFrame, made: Sequence[T.StructField], fn: Callable[[pa.RecordBatch], Sequence[pa.Array]]
+    df: DataFrame, made: Sequence[T.StructField], fn: Callable[[pa.RecordBatch], Sequence[pa.Array]], drop: Sequence[str] = ()
 ) -> DataFrame:
-    """Appends columns made by `fn` from each Arrow batch; every other column passes through.
+    """Appends columns made by `fn` from each Arrow batch; every other column but `drop` passes through.
 
     An input column that has the name of a made one (in any case) gives way to it."""
-    names = {f.name.lower() for f in made}
+    names = {f.name.lower() for f in made} | set(drop)
     keep = [f.name for f in df.schema.fields if f.name.lower() not in names]
     schema = T.StructType([df.schema[n] for n in keep] + list(made))
 

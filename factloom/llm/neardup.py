@@ -2,10 +2,10 @@
 
 Each hash function gives two signature values, its minimum and its maximum over a document's word
 shingles, so half as many hashes are evaluated. Documents that agree on a band of values meet in a
-bucket. Work inside a bucket stays linear: first every member is compared with the bucket's smallest
-document; buckets that then still hold several components compare members of different components,
-and crowded ones among them are split by a second and a third shared band before that. Every link is
-confirmed on the full shingle sets. Equal word sequences are one node throughout.
+bucket. First every member is compared with the bucket's best connected document; buckets that then
+still hold several components compare members of different components, each pair in its first shared
+bucket alone. Every link is confirmed on the full shingle sets. Equal word sequences are one node
+throughout.
 
 With ROWS = 4 and BANDS = 28 a pair at 85 % is missed by all bands with probability 1e-9, at 80 % 4e-7.
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +28,11 @@ from .common import annotate, dropped, texts, written
 from .pieces import Memory
 
 ROWS, BANDS = 4, 28
-ENTRIES = 600_000
-#: Buckets of at most so many members compare all members of different components.
-CROWD = 32
+ENTRIES = 200_000
+#: Most ids that are broadcast to pick the texts to confirm (8 bytes each).
+SENT = 500_000
+#: Bands that a pair must share to be confirmed; at the threshold 2 or fewer of 28 have a chance below 1e-6.
+AGREE = 3
 _U = np.uint64
 _M1, _M2 = _U(0xFF51AFD7ED558CCD), _U(0xC4CEB9FE1A85EC53)
 
@@ -95,12 +97,15 @@ def signed(docs: DataFrame, k: int) -> DataFrame:
     hashes = MinMax()
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        found = list(map(words, texts(batch)))
-        sets = [s for at in range(0, len(found), 500) for s in shingles(found[at : at + 500], k)]
-        keys = [xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in found]
-        bands = [hashes.keys(s) if len(s) else None for s in sets]
+        sizes, keys, bands = [], [], []
+        for at in range(0, len(batch), 500):
+            found = list(map(words, texts(batch.slice(at, 500))))
+            sets = shingles(found, k)
+            sizes += map(len, sets)
+            keys += [xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in found]
+            bands += [hashes.keys(s) if len(s) else None for s in sets]
         return [
-            pa.array([len(s) for s in sets], pa.int64()),
+            pa.array(sizes, pa.int64()),
             pa.array(keys, pa.binary()),
             pa.array(bands, pa.list_(pa.int64())),
         ]
@@ -110,25 +115,29 @@ def signed(docs: DataFrame, k: int) -> DataFrame:
         T.StructField("key", T.BinaryType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
     ]
-    return annotate(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), made, run).drop("text")
+    return annotate(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), made, run, drop=["text"])
 
 
 def with_sets(docs: DataFrame, k: int) -> DataFrame:
     """doc_id and its shingle hashes."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        found = list(map(words, texts(batch)))
-        sets = [s.view(np.int64) for at in range(0, len(found), 500) for s in shingles(found[at : at + 500], k)]
-        return [pa.array(sets, pa.list_(pa.int64()))]
+        kind = pa.list_(pa.int64())
+        parts = []
+        for at in range(0, len(batch), 500):
+            found = list(map(words, texts(batch.slice(at, 500))))
+            parts.append(pa.array([s.view(np.int64) for s in shingles(found, k)], kind))
+        return [pa.concat_arrays(parts) if parts else pa.array([], kind)]
 
-    return annotate(docs.select("doc_id", "text"), [T.StructField("set", T.ArrayType(T.LongType()))], run).drop("text")
+    return annotate(docs.select("doc_id", "text"), [T.StructField("set", T.ArrayType(T.LongType()))], run, drop=["text"])
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union on full sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    few = ids.limit(SENT + 1).count() <= SENT  # else the texts are shuffled to their ids
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wanted = with_sets(own.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), k)
+    wanted = with_sets(own.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), k)
     sets = written(wanted.withColumn("n", F.size("set")), "sets")
     sizes, sets_ = sets.select("doc_id", "n"), sets.select("doc_id", "set")
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
@@ -165,34 +174,28 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Pairs of different components within a bucket."""
-    x, y = rows.toDF("bucket", "a", "ca"), rows.toDF("bucket", "b", "cb")
-    return x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b")
-
-
-def unsettled(members: DataFrame, bands: DataFrame, depth: int = 2) -> DataFrame:
-    """Candidate pairs that buckets with several components still hold.
-
-    members: bucket, node, comp. bands: node, bands. A crowded bucket is split by further shared bands;
-    what is crowded even then (a pair must agree on `depth` + 1 bands to be there) is compared whole."""
-    out = None
-    for level in range(depth + 1):
-        sizes = members.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
-        ).where("lo < hi").select("bucket", "n")
-        rows = written(members.join(sizes, "bucket"), "rows")
-        full = level == depth
-        pairs = _across(rows.where(F.lit(full) | (F.col("n") <= CROWD)).select("bucket", "node", "comp"))
-        out = pairs if out is None else out.union(pairs)
-        crowded = rows.where(F.col("n") > CROWD).select("bucket", "node", "comp")
-        if full or crowded.isEmpty():
-            return out.distinct()
-        split = crowded.join(bands, "node").select("bucket", "node", "comp", F.explode("bands").alias("other"))
-        members = split.where(F.col("other") != F.col("bucket")).select(
-            F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "node", "comp"
-        ).distinct()
-    raise AssertionError
+def _short(band: Column) -> Column:
+    return F.shiftright(band, 32).cast("int")
+
+
+def unsettled(members: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different components in buckets that hold several.
+
+    members: bucket, node, comp. bands: node, n, bands. A pair that shares several buckets is made in the
+    first of them alone, and only where its sizes allow the similarity and it shares AGREE bands."""
+    mixed = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    rows = members.join(mixed.select("bucket"), "bucket").join(bands, "node").select(
+        "bucket", "node", "comp", "n", F.transform("bands", _short).alias("bands")
+    )
+    rows = written(rows, "rows")
+    x, y = rows.toDF("bucket", "a", "ca", "na", "ba"), rows.toDF("bucket", "b", "cb", "nb", "bb")
+    common = F.array_intersect("ba", "bb")  # bands, shortened to 32 bits
+    wanted = (
+        (x["bucket"] == y["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        & (F.get(common, F.lit(0)) == _short(x["bucket"])) & (F.size(common) >= AGREE)
+    )
+    return x.join(y, wanted).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -200,16 +203,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     all_ = written(signed(docs, k), "signed")
     heads = all_.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("node"))
     nodes = written(all_.select("doc_id", "n_shingles", "key", "bands").join(heads, "key", "left"), "nodes")
-    bands = nodes.where(F.col("doc_id") == F.col("node")).select("node", "bands")
-    spread = bands.select("node", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = written(spread.join(shared.select("bucket", "lo"), "bucket").distinct(), "members")
-    star = members.where(F.col("node") != F.col("lo")).select(F.col("lo").alias("a"), F.col("node").alias("b"))
+    bands = nodes.where(F.col("doc_id") == F.col("node")).select("node", F.col("n_shingles").alias("n"), "bands")
+    spread = bands.select("node", F.explode("bands").alias("bucket")).distinct()
+    shared = spread.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    members = written(spread.join(shared.select("bucket", "n"), "bucket"), "members")
+    # the text that others were made from agrees with most of them: it is in its group's largest buckets
+    fame = members.groupBy("node").agg(F.sum("n").alias("fame"))
+    best = F.max(F.struct("fame", (-F.col("node")).alias("node"))).alias("best")
+    leads = members.select("bucket", "node").join(fame, "node").groupBy("bucket").agg(best)
+    star = (
+        members.select("bucket", "node").join(leads.select("bucket", (-F.col("best.node")).alias("lead")), "bucket")
+        .where(F.col("node") != F.col("lead"))
+        .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
+    )
     labels = components(confirmed(written(star.distinct(), "pairs"), docs, k, percent))
     placed = members.join(labels, "node", "left").select(
         "bucket", "node", F.coalesce("label", "node").alias("comp")
     )
-    rest = written(unsettled(placed, bands), "pairs")
+    rest = written(unsettled(placed, bands, percent), "pairs")
     if not rest.isEmpty():
         more = confirmed(rest, docs, k, percent)
         at = labels.select("node", "label")
