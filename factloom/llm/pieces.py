@@ -36,8 +36,14 @@ class Memory:
     def __init__(self, make: Callable[[list[str]], Sequence[Any]], entries: int, longest: int = 64, short: int = 8):
         self.make, self.entries, self.longest, self.short, self.known = make, entries, longest, short, {}
 
+    _live: Memory | None = None  #: a worker serves many stages; only the one at work keeps its chunks
+
     def of(self, docs: list[list[str]]) -> list[list[Any]]:
         known = self.known
+        if Memory._live is not self:
+            if Memory._live is not None:
+                Memory._live.known.clear()
+            Memory._live = self
         if len(known) > self.entries:  # short chunks recur most
             short = {c: v for c, v in known.items() if len(c) <= self.short}
             known.clear()

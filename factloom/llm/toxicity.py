@@ -27,7 +27,7 @@ from .pieces import Memory
 
 #: Most labelled rows that a fit sees, hash bits, most features, length of a feature's vector.
 SAMPLE_ROWS, BITS, MOST, RANK = 12_000, 20, 512, 8
-ENTRIES = 600_000
+ENTRIES = 200_000
 _EDGE = ".,;:!?\"'()[]{}<>|*#$%&-_=+~`/\\"
 
 
@@ -187,8 +187,7 @@ def classify(docs: DataFrame, model: Machine, threshold: float = 0.7) -> DataFra
     """Appends held_out, score and predicted to every document."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        docs = texts(batch)
-        parts = [model.score(docs[i : i + 1000]) for i in range(0, len(docs), 1000)]
+        parts = [model.score(texts(batch.slice(i, 500))) for i in range(0, len(batch), 500)]
         return [pa.array(np.concatenate(parts) if parts else np.empty(0), pa.float64())]
 
     scored = annotate(docs, [T.StructField("score", T.DoubleType())], run)
