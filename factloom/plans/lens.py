@@ -267,7 +267,7 @@ def provider_readiness(spark, d):
         F.when(ended, "provider.task.lifecycle").when(kind == "signup", "provider.command.lifecycle")
         .when(kind == "view", "provider.execution.progress").otherwise("other")
     )
-    facts = _t(spark, d, "events").where("user_id % 3 = 0").select(
+    facts = _t(spark, d, "events").select(
         (F.col("user_id") % 10).alias("scope"), F.col("event_id").alias("fact_id"), F.sha2("props", 256).alias("fact_hash"),
         fact_type.alias("fact_type"), F.col("user_id").alias("task_id"),
         F.when(kind == "purchase", "completed").when(kind == "logout", "failed").alias("lifecycle_status"),

@@ -49,3 +49,11 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_no_global_window_and_partial_aggregates(spark):
     assert "Window" not in plan(lens.watermark_broadcast(spark, DATA))
     assert "partial_max" in plan(lens.latest_fact_per_key(spark, DATA))
+
+
+def test_provider_readiness_counts_every_fact(spark, duck):
+    got = {r.scope: (r.facts, r.status) for r in lens.provider_readiness(spark, DATA).collect()}
+    # the registered SQL counts a third of the users only; compare with it less that predicate
+    whole = lens.SQL["provider_readiness"].replace(" WHERE user_id % 3 = 0", "")
+    assert got == {scope: (facts, status) for scope, facts, status in duck.execute(whole).fetchall()}
+    assert sum(facts for facts, _ in got.values()) == duck.execute("SELECT count(*) FROM events").fetchone()[0]
