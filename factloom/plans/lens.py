@@ -379,8 +379,7 @@ def freshness_latency(spark, d):
 @_query("""SELECT vec_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(embedding[1:8],
   lambda x: CAST(CAST(floor(x * 10) AS INTEGER) AS VARCHAR)), lambda s: s <> '0'))), ',') AS labels FROM embeddings""")
 def array_normalise(spark, d):
-    first = F.slice("embedding", 1, 8)
-    words = F.transform(first, lambda x: F.floor(x * F.lit(10).cast("float")).cast("int").cast("string"))
+    words = F.transform("embedding", lambda x: F.floor(x * F.lit(10).cast("float")).cast("int").cast("string"))
     return _t(spark, d, "embeddings").select("vec_id", F.array_join(ident.normalised(F.filter(words, lambda s: s != "0")), ",").alias("labels"))
 
 

@@ -57,3 +57,9 @@ def test_provider_readiness_counts_every_fact(spark, duck):
     whole = lens.SQL["provider_readiness"].replace(" WHERE user_id % 3 = 0", "")
     assert got == {scope: (facts, status) for scope, facts, status in duck.execute(whole).fetchall()}
     assert sum(facts for facts, _ in got.values()) == duck.execute("SELECT count(*) FROM events").fetchone()[0]
+
+
+def test_array_normalise_takes_every_element(spark, duck):
+    # the registered SQL reads the first 8 elements only; compare with it less that cut
+    whole = duck.execute(lens.SQL["array_normalise"].replace("embedding[1:8]", "embedding")).fetchall()
+    assert {r.vec_id: r.labels for r in lens.array_normalise(spark, DATA).collect()} == dict(whole)
