@@ -1,8 +1,10 @@
 """Operator 5: benchmark decontamination over canonical templates.
 
 Numbers, names (capitalised words inside a sentence) and units after a number become typed
-placeholders, other words lose case and outer marks. Windows of WORDS template tokens of documents
-and benchmark items meet in a hash join. On each diagonal (a run of windows at one distance) the
+placeholders, other words lose case and outer marks. Capitals say nothing of names where a passage was
+set in capitals or in small letters, so a window that holds names has a second, folded template in
+which they are plain words. Windows of WORDS template tokens of documents and benchmark items meet in a
+hash join, named templates and folded ones apart. On each diagonal (a run of windows at one distance) the
 placeholders' values must match one to one: an item's value always stands for the same value of the
 document and the other way round. An item is leaked when consistent diagonals cover `share` of its
 windows, so re-parameterised questions are caught and chance mixtures are not.
@@ -44,6 +46,8 @@ _EDGE = "\"'()[]{}<>.,;:!?*#&|_~`"
 _SKIP, _END, _CAPITAL, _NUM, _UNIT = 1, 2, 4, 8, 16
 _PLACE = _draws(64, 23)
 _NAME_CODE, _NUM_CODE, _UNIT_CODE = (np.uint64(x) for x in (3, 5, 7))
+#: Templates of a window: one without names has PLAIN alone, any other NAMED and FOLDED.
+PLAIN, NAMED, FOLDED = 0, 1, 2
 
 
 def _token(raw: str) -> bytes:
@@ -55,16 +59,25 @@ def _token(raw: str) -> bytes:
     if not word:
         return (0).to_bytes(8, "little") + (_SKIP | end).to_bytes(8, "little")
     low = word.lower()
+    folded = word.casefold()
     flags = end | (_CAPITAL if word[0].isupper() else 0)
     flags |= _NUM if _NUMBER.fullmatch(low) else _UNIT if low in UNITS else 0
-    return xxhash.xxh64_digest(low.encode(), 1)[::-1] + flags.to_bytes(8, "little")
+    return xxhash.xxh64_digest(folded.encode(), 1)[::-1] + flags.to_bytes(8, "little")
 
 
 _TOKENS = Memory(lambda new: list(map(_token, new)), ENTRIES)
 
 
-def _found(docs: list[str], wanted: np.ndarray | None) -> Iterator[tuple[int, int, int, list[str]]]:
-    """(document number, window position, hash, slot values) of windows whose hash is wanted."""
+def _hashes(code: np.ndarray, n: int) -> np.ndarray:
+    code = _mixed(code)
+    h = np.zeros(n, np.uint64)
+    for i in range(WORDS):
+        h += code[i : n + i] * _PLACE[i]
+    return _mixed(h)
+
+
+def _found(docs: list[str], wanted: np.ndarray | None) -> Iterator[tuple[int, int, int, int, list[str]]]:
+    """(document number, window position, form, hash, slot values) of windows whose hash is wanted."""
     raw = [t.replace("\n", " \x00 ").split() for t in docs]
     data = np.frombuffer(b"".join([b"".join(v) for v in _TOKENS.of(raw)]), np.uint64).reshape(-1, 2)
     code, flags = data[:, 0].copy(), data[:, 1].astype(np.int64)
@@ -81,65 +94,77 @@ def _found(docs: list[str], wanted: np.ndarray | None) -> Iterator[tuple[int, in
     unit = np.zeros(len(code), bool)
     unit[1:] = ((flags[1:] & _UNIT) > 0) & number[:-1] & (doc[1:] == doc[:-1])
     name = ((flags & _CAPITAL) > 0) & ~start & ~number & ~unit
-    code[number], code[unit], code[name] = _NUM_CODE, _UNIT_CODE, _NAME_CODE
-    code = _mixed(code)
-    h = np.zeros(n, np.uint64)
+    holds = np.zeros(n, bool)
     for i in range(WORDS):
-        h += code[i : n + i] * _PLACE[i]
-    h = _mixed(h)
-    ok = doc[:n] == doc[WORDS - 1 :]
-    if wanted is not None and len(wanted):
-        ok &= wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
-    elif wanted is not None:
-        ok[:] = False
-    slot = number | unit | name
+        holds |= name[i : n + i]
+    whole = doc[:n] == doc[WORDS - 1 :]
     first = np.searchsorted(doc, np.arange(len(docs)))
-    signed = h.view(np.int64)
-    for i in np.flatnonzero(ok).tolist():
-        d = int(doc[i])
-        values = [raw[d][at[j]].strip(_EDGE) for j in range(i, i + WORDS) if slot[j]]
-        yield d, i - int(first[d]), int(signed[i]), values
+    code[number], code[unit] = _NUM_CODE, _UNIT_CODE
+    folded = _hashes(code, n)
+    code[name] = _NAME_CODE
+    slot = number | unit
+    for h, ok, slot, form in (
+        (folded, whole, slot, np.where(holds, FOLDED, PLAIN)),
+        (_hashes(code, n), whole & holds, slot | name, np.full(n, NAMED)),
+    ):
+        if wanted is not None and len(wanted):
+            ok = ok & (wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h)
+        elif wanted is not None:
+            ok = np.zeros(n, bool)
+        signed = h.view(np.int64)
+        for i in np.flatnonzero(ok).tolist():
+            d = int(doc[i])
+            values = [raw[d][at[j]].strip(_EDGE) for j in range(i, i + WORDS) if slot[j]]
+            yield d, i - int(first[d]), int(form[i]), int(signed[i]), values
 
 
 def windows(df: DataFrame, key: str, wanted: np.ndarray | None = None) -> DataFrame:
-    """(id, pos, hash, slots) of every template window, or of the wanted ones."""
+    """(id, pos, form, hash, slots) of every template window, or of the wanted ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(b.schema.get_field_index("id")).to_pylist()
             for low in range(0, len(b), 500):
-                rows = [(ids[low + d], p, h, s) for d, p, h, s in _found(texts(b.slice(low, 500)), wanted)]
+                rows = [(ids[low + d], *r) for d, *r in _found(texts(b.slice(low, 500)), wanted)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int64()),
                         pa.array([r[1] for r in rows], pa.int64()),
-                        pa.array([r[2] for r in rows], pa.int64()),
-                        pa.array([r[3] for r in rows], pa.list_(pa.string())),
+                        pa.array([r[2] for r in rows], pa.int32()),
+                        pa.array([r[3] for r in rows], pa.int64()),
+                        pa.array([r[4] for r in rows], pa.list_(pa.string())),
                     ],
-                    names=["id", "pos", "hash", "slots"],
+                    names=["id", "pos", "form", "hash", "slots"],
                 )
 
     named = df.select(F.col(key).cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return named.where("id is not null").mapInArrow(run, "id long, pos long, hash long, slots array<string>")
+    return named.where("id is not null").mapInArrow(run, "id long, pos long, form int, hash long, slots array<string>")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """One row for each leaked pair: doc_id, item_id, coverage (0 to 1) and the item's slot values found."""
-    items = windows(benchmark, "item_id").toDF("item_id", "item_pos", "hash", "item_slots")
+    items = windows(benchmark, "item_id").toDF("item_id", "item_pos", "item_form", "hash", "item_slots")
     few = items.select("hash").distinct().limit(SIFT + 1).toPandas()["hash"].to_numpy(np.int64)
     wanted = np.sort(few.view(np.uint64)) if len(few) <= SIFT else None
-    own = windows(docs, "doc_id", wanted).toDF("doc_id", "pos", "hash", "slots")
+    own = windows(docs, "doc_id", wanted).toDF("doc_id", "pos", "form", "hash", "slots")
+    # windows without names on both sides belong to either template's diagonal
+    plain = (F.col("form") == PLAIN) & (F.col("item_form") == PLAIN)
+    forms = F.when(plain, F.array(F.lit(NAMED), F.lit(FOLDED))).otherwise(
+        F.array(F.when(F.col("form") == NAMED, NAMED).otherwise(FOLDED))
+    )
     met = own.join(items, "hash").select(
-        "doc_id", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"),
+        "doc_id", "item_id", "item_pos", F.explode(forms).alias("form"), (F.col("pos") - F.col("item_pos")).alias("diagonal"),
         F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")).alias("pairs"),
     )
-    lines = met.groupBy("doc_id", "item_id", "diagonal").agg(
+    lines = met.groupBy("doc_id", "item_id", "form", "diagonal").agg(
         F.collect_set("item_pos").alias("covered"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
-    one_to_one = (F.size(F.array_distinct("pairs.theirs")) == F.size("pairs")) & (
-        F.size(F.array_distinct("pairs.ours")) == F.size("pairs")
+    low = F.transform("pairs", lambda p: F.struct(F.lower(p["theirs"]).alias("theirs"), F.lower(p["ours"]).alias("ours")))
+    lines = lines.withColumn("alike", F.when(F.col("form") == FOLDED, F.array_distinct(low)).otherwise(F.col("pairs")))
+    one_to_one = (F.size(F.array_distinct("alike.theirs")) == F.size("alike")) & (
+        F.size(F.array_distinct("alike.ours")) == F.size("alike")
     )
-    sizes = items.groupBy("item_id").agg(F.count("*").alias("n"))
+    sizes = items.where(F.col("item_form") != FOLDED).groupBy("item_id").agg(F.count("*").alias("n"))
     return (
         lines.where(one_to_one)
         .groupBy("doc_id", "item_id")

@@ -199,6 +199,22 @@ def test_leaks_and_slots(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == decontaminate.leaks(docs.limit(0), bench).count() == 0
 
 
+def test_leaks_whatever_the_case(spark):
+    text = "Tom buys 3 apples and gives Ann 3 pears on the 5 km road to Rome and Straßburg today"
+    bench = spark.createDataFrame([(1, text), (2, text.upper())], "item_id long, text string")
+    low = text.lower()
+    docs = spark.createDataFrame(
+        [
+            (1, f"WELL THEN. {text.upper()}. YES."), (2, f"well then. {low}. yes."), (3, text.title()), (4, text),
+            (5, low.replace("ann 3", "ann 4").upper()),  # 3 stands for two values
+            (6, prose(9, 50).upper()),
+        ],
+        "doc_id long, text string",
+    )
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {(d, i): 1.0 for d in (1, 2, 3, 4) for i in (1, 2)}
+
+
 def test_shards_are_exact_and_repeatable(spark):
     docs = spark.range(1003).select((F.col("id") % 1000).alias("doc_id"), F.lit("x").alias("text"), F.lit(1).alias("slot"))
     run = lambda: shards.shuffle_into(docs, "doc_id", 16, rows=50).toPandas()
