@@ -23,13 +23,13 @@ from pyspark.sql import Window
 
 from .common import annotate, remainder, texts
 
-#: Ranks in a profile, documents of each language that a fit expects to see, and most languages.
-PLACES, PER_LANGUAGE, LANGUAGES = 300, 1500, 500
+#: Ranks in a profile, and documents of each language that a fit expects to see.
+PLACES, PER_LANGUAGE = 300, 1500
 _BLANK = 1
 
 
 def _alpha() -> np.ndarray:
-    return np.fromiter((chr(c).isalpha() for c in range(0x11000)), bool, 0x11000)
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
 _TABLE: list[np.ndarray] = []
@@ -40,7 +40,7 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     if not _TABLE:
         _TABLE.append(_alpha())
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    letter = _TABLE[0][np.minimum(points, 0x10FFF)]
+    letter = _TABLE[0][points]
     s = np.where(letter, points, _BLANK)
     two = letter[:-1] | letter[1:]
     mid = letter[1:-1] & (letter[:-2] | letter[2:])
@@ -67,26 +67,33 @@ def ranked(codes: np.ndarray, counts: np.ndarray, places: int) -> np.ndarray:
 class Profiles:
     names: list[str]
     codes: np.ndarray  #: all profiles' codes, sorted
-    ranks: np.ndarray  #: language x code, `places` where a profile lacks the code
+    start: np.ndarray  #: where each code's entries begin in `lang` and `rank`; one more for their end
+    lang: np.ndarray
+    rank: np.ndarray
     places: int
 
     @classmethod
     def of(cls, ranked_codes: dict[str, np.ndarray], places: int = PLACES) -> Profiles:
         names = sorted(ranked_codes)
-        codes = np.unique(np.concatenate([*ranked_codes.values(), np.empty(0, np.int64)])).astype(np.int64)
-        ranks = np.full((len(names), len(codes) + 1), places, np.int32)
-        for i, n in enumerate(names):
-            ranks[i, np.searchsorted(codes, ranked_codes[n])] = np.arange(len(ranked_codes[n]))
-        return cls(names, codes, ranks, places)
+        sizes = [len(ranked_codes[n]) for n in names]
+        flat = np.concatenate([np.empty(0, np.int64), *(ranked_codes[n] for n in names)]).astype(np.int64)
+        lang = np.repeat(np.arange(len(names)), sizes)
+        rank = np.concatenate([np.empty(0, np.int64), *map(np.arange, sizes)]).astype(np.int64)
+        order = np.argsort(flat, kind="stable")
+        codes, first = np.unique(flat[order], return_index=True)
+        return cls(names, codes, np.append(first, len(flat)), lang[order], rank[order], places)
 
     def predict(self, text: str) -> tuple[str, float]:
         top = ranked(*grams(text), self.places)
         if not len(top) or not self.names:
             return "und", 0.0
         at = np.searchsorted(self.codes, top)
-        at = np.where(np.append(self.codes, -1)[at] == top, at, len(self.codes))
-        theirs = self.ranks[:, at]
-        distance = np.where(theirs < self.places, np.abs(theirs - np.arange(len(top))), self.places).sum(axis=1)
+        own = np.flatnonzero(np.append(self.codes, -1)[at] == top)
+        low, n = self.start[at[own]], self.start[at[own] + 1] - self.start[at[own]]
+        # the entries of all n-grams of the text that some profile has
+        entry = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        near = self.places - np.abs(self.rank[entry] - np.repeat(own, n))
+        distance = self.places * len(top) - np.bincount(self.lang[entry], near, len(self.names))
         best = int(distance.argmin())
         return self.names[best], float(1 - distance[best] / (self.places * len(top)))
 
@@ -96,7 +103,7 @@ def train(docs: DataFrame, lang: str = "lang", per_language: int = PER_LANGUAGE,
     known = docs.select("doc_id", "text", F.trim(F.col(lang).cast("string")).alias("lang")).where(
         (F.col("lang") != "") & (remainder(F.col("doc_id"), 4) != 2)
     )
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    sizes = known.groupBy("lang").count()  # a row for each profile, which all workers get anyway
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit("profile")), F.lit(1 << 30)) / float(1 << 30)
     taken = known.join(F.broadcast(sizes), "lang").where(draw < per_language / F.col("count"))
 

@@ -155,6 +155,35 @@ def test_language_ranks(spark):
     assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
 
 
+def test_language_beyond_the_first_planes(spark):
+    scripts = {"ff": 0x1E922, "ccp": 0x11107, "zh": 0x20000}
+    text = {n: " ".join("".join(chr(c + (i * j) % 20) for j in range(4)) for i in range(8)) for n, c in scripts.items()}
+    rows = [(3 * i + j, text[n], n) for i in range(20) for j, n in enumerate(scripts)] + [(100 + j, text[n], None) for j, n in enumerate(scripts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify(docs, language.train(docs)).collect()}
+    assert [got[100 + j].lang_pred for j in range(3)] == list(scripts) and all(r.score > 0 for r in got.values())
+
+
+def test_language_learns_every_label(spark):
+    rows = [(i, chr(0x4E00 + i // 12) * 3, f"l{i // 12:03}") for i in range(520 * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.identify(docs, language.train(docs))
+    assert got.where("lang_pred <> lang").count() == 0
+
+
+def test_language_distance_is_out_of_place():
+    rng = np.random.default_rng(6)
+    texts = {f"l{i}": prose(i, 80) + " " + "".join(map(chr, rng.integers(97, 123, 40))) for i in range(5)}
+    profiles = {n: language.ranked(*language.grams(t), 50) for n, t in texts.items()}
+    made = language.Profiles.of(profiles, 50)
+    for t in [*texts.values(), prose(77, 30), "zzz", "ñ"]:
+        top = language.ranked(*language.grams(t), 50).tolist()
+        places = {n: {c: r for r, c in enumerate(p.tolist())} for n, p in profiles.items()}
+        distance = {n: sum(abs(p[c] - i) if c in p else 50 for i, c in enumerate(top)) for n, p in places.items()}
+        best = min(sorted(distance), key=distance.get)
+        assert made.predict(t) == (best, 1 - distance[best] / (50 * len(top)))
+
+
 def classifier_rows(spark):
     rng = np.random.default_rng(2)
     rows, labels = [], []
