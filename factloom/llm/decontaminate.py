@@ -7,7 +7,8 @@ which they are plain words. Windows of WORDS template tokens of documents and be
 hash join, named templates and folded ones apart. On each diagonal (a run of windows at one distance) the
 placeholders' values must match one to one: an item's value always stands for the same value of the
 document and the other way round. An item is leaked when consistent diagonals cover `share` of its
-windows, so re-parameterised questions are caught and chance mixtures are not.
+windows, so re-parameterised questions are caught and chance mixtures are not, or when a diagonal holds
+LONG consecutive words of it with their very values (case apart), whatever its share.
 
 Defined cases: null and empty texts have no windows; an item of fewer than WORDS tokens cannot leak;
 repeated rows with one doc_id count as one document; rows with a null id are not searched; empty
@@ -22,14 +23,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts
 from .neardup import _draws, _mixed
 from .pieces import Memory
 
-WORDS, SHARE = 5, 0.8
+WORDS, SHARE, LONG = 5, 0.8, 13
 ENTRIES = 400_000
 #: Up to so many benchmark windows are sent to the executors to sift documents before the join (8 bytes each).
 SIFT = 2_000_000
@@ -141,8 +142,12 @@ def windows(df: DataFrame, key: str, wanted: np.ndarray | None = None) -> DataFr
     return named.where("id is not null").mapInArrow(run, "id long, pos long, form int, hash long, slots array<string>")
 
 
+def _same(pair: Column) -> Column:
+    return F.lower(pair["theirs"]) == F.lower(pair["ours"])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """One row for each leaked pair: doc_id, item_id, coverage (0 to 1) and the item's slot values found."""
+    """One row for each leaked pair (by share or a long run): doc_id, item_id, coverage (0 to 1) and the item's slot values found."""
     items = windows(benchmark, "item_id").toDF("item_id", "item_pos", "item_form", "hash", "item_slots")
     few = items.select("hash").distinct().limit(SIFT + 1).toPandas()["hash"].to_numpy(np.int64)
     wanted = np.sort(few.view(np.uint64)) if len(few) <= SIFT else None
@@ -157,22 +162,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
         F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")).alias("pairs"),
     )
     lines = met.groupBy("doc_id", "item_id", "form", "diagonal").agg(
-        F.collect_set("item_pos").alias("covered"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+        F.collect_set("item_pos").alias("covered"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+        F.array_sort(F.collect_set(F.when(F.forall("pairs", _same), F.col("item_pos")))).alias("verbatim"),
     )
+    # sorted distinct positions i to i + k are consecutive where they lie k apart
+    k = LONG - WORDS
+    long = F.exists(F.arrays_zip(F.col("verbatim").alias("low"), F.slice("verbatim", k + 1, 1 << 30).alias("high")), lambda p: p["high"] - p["low"] == k)
     low = F.transform("pairs", lambda p: F.struct(F.lower(p["theirs"]).alias("theirs"), F.lower(p["ours"]).alias("ours")))
     lines = lines.withColumn("alike", F.when(F.col("form") == FOLDED, F.array_distinct(low)).otherwise(F.col("pairs")))
     one_to_one = (F.size(F.array_distinct("alike.theirs")) == F.size("alike")) & (
         F.size(F.array_distinct("alike.ours")) == F.size("alike")
     )
     sizes = items.where(F.col("item_form") != FOLDED).groupBy("item_id").agg(F.count("*").alias("n"))
+    # of a diagonal that contradicts itself, a long run counts alone
+    lines = lines.select(
+        "doc_id", "item_id", long.alias("long"), one_to_one.alias("fits"),
+        F.when(one_to_one, F.col("covered")).otherwise(F.col("verbatim")).alias("covered"),
+        F.when(one_to_one, F.col("pairs")).otherwise(F.filter("pairs", _same)).alias("pairs"),
+    )
     return (
-        lines.where(one_to_one)
+        lines.where("fits or long")
         .groupBy("doc_id", "item_id")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("covered")))).alias("k"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("pairs.ours")))).alias("slot_values"),
+            F.max("long").alias("long"),
         )
         .join(sizes, "item_id")
-        .select("doc_id", "item_id", (F.col("k") / F.col("n")).alias("coverage"), "slot_values")
-        .where(F.col("coverage") >= share)
+        .withColumn("coverage", F.col("k") / F.col("n"))
+        .where((F.col("coverage") >= share) | F.col("long"))
+        .select("doc_id", "item_id", "coverage", "slot_values")
     )

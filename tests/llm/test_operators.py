@@ -244,6 +244,23 @@ def test_leaks_whatever_the_case(spark):
     assert got == {(d, i): 1.0 for d in (1, 2, 3, 4) for i in (1, 2)}
 
 
+def test_leaks_by_a_long_run(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
+    words[30], words[50] = "7", "7"
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    other = prose(5, 30).replace(".", "").lower()
+    docs = spark.createDataFrame(
+        [
+            (1, " ".join([other, *words[:45], other])), (2, " ".join([other, *words[20:33], other]).upper()),
+            (3, " ".join([other, *words[20:32], other])), (4, " ".join([other, *words[20:30], "8", *words[31:35], other])),
+            (5, " ".join([*words[:50], "9", *words[51:]])),  # 7 stands for two values
+        ],
+        "doc_id long, text string",
+    )
+    got = {r.doc_id: round(r.coverage * 55) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {1: 41, 2: 9, 5: 50}
+
+
 def test_shards_are_exact_and_repeatable(spark):
     docs = spark.range(1003).select((F.col("id") % 1000).alias("doc_id"), F.lit("x").alias("text"), F.lit(1).alias("slot"))
     run = lambda: shards.shuffle_into(docs, "doc_id", 16, rows=50).toPandas()
