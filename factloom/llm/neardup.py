@@ -17,6 +17,8 @@ empty table; other columns are not used.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,8 +33,8 @@ ROWS, BANDS = 4, 28
 ENTRIES = 200_000
 #: Most ids that are broadcast to pick the texts to confirm (8 bytes each).
 SENT = 500_000
-#: Bands that a pair must share to be confirmed; at the threshold 2 or fewer of 28 have a chance below 1e-6.
-AGREE = 3
+#: Highest chance that a pair at the threshold shares fewer bands than a candidate must.
+MISSED = 1e-6
 _U = np.uint64
 _M1, _M2 = _U(0xFF51AFD7ED558CCD), _U(0xC4CEB9FE1A85EC53)
 
@@ -174,6 +176,15 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def agree(percent: int) -> int:
+    """Bands that a pair must share to be confirmed: as many as a pair at the threshold shares but for MISSED, at least 1."""
+    p = (percent / 100) ** ROWS
+    chance, least = 0.0, 0
+    while least < BANDS and (chance := chance + comb(BANDS, least) * p**least * (1 - p) ** (BANDS - least)) < MISSED:
+        least += 1
+    return max(least, 1)
+
+
 def _short(band: Column) -> Column:
     return F.shiftright(band, 32).cast("int")
 
@@ -182,7 +193,7 @@ def unsettled(members: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of different components in buckets that hold several.
 
     members: bucket, node, comp. bands: node, n, bands. A pair that shares several buckets is made in the
-    first of them alone, and only where its sizes allow the similarity and it shares AGREE bands."""
+    first of them alone, and only where its sizes allow the similarity and it shares agree(percent) bands."""
     mixed = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     rows = members.join(mixed.select("bucket"), "bucket").join(bands, "node").select(
         "bucket", "node", "comp", "n", F.transform("bands", _short).alias("bands")
@@ -193,7 +204,7 @@ def unsettled(members: DataFrame, bands: DataFrame, percent: int) -> DataFrame:
     wanted = (
         (x["bucket"] == y["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
         & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        & (F.get(common, F.lit(0)) == _short(x["bucket"])) & (F.size(common) >= AGREE)
+        & (F.get(common, F.lit(0)) == _short(x["bucket"])) & (F.size(common) >= agree(percent))
     )
     return x.join(y, wanted).select("a", "b")
 

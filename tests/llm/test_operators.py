@@ -122,6 +122,15 @@ def test_near_duplicates_match_brute_force(spark, docs, texts):
     assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted({x for i, x in enumerate(label)})
 
 
+def test_candidates_that_share_one_band(spark):
+    assert [neardup.agree(p) for p in (50, 80, 85)] == [1, 1, 3]
+    bands = [(n, 100, [(n * 100 + i) << 32 for i in range(27)] + [7 << 32]) for n in (1, 2)]
+    bands = spark.createDataFrame(bands, "node long, n long, bands array<long>")
+    members = bands.select(F.explode("bands").alias("bucket"), "node", F.col("node").alias("comp"))
+    assert neardup.unsettled(members, bands, 80).collect() == [(1, 2)]
+    assert neardup.unsettled(members, bands, 85).count() == 0
+
+
 def test_fingerprints_match_brute_force(spark, docs, texts):
     plain = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     got = {r.doc_id: r for r in fingerprints.fingerprints(plain).collect()}
