@@ -25,8 +25,10 @@ def _where(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], keep: Colum
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language (no letters)."""
+    """Rejects documents without a language: texts that are null or have no letters. Profiles reject nothing."""
     profiles = language.train(docs)
+    if not profiles.names:  # every text would be `und`
+        return _where(docs, language.lettered, F.col("lettered"))
     return _where(docs, lambda d: language.identify(d, profiles), F.col("lang_pred") != "und")
 
 

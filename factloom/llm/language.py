@@ -139,3 +139,12 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
 
     made = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return annotate(docs, made, run).withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
+
+
+def lettered(docs: DataFrame) -> DataFrame:
+    """Appends whether a document's text has a letter."""
+
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([len(grams(t)[0]) > 0 for t in texts(batch)], pa.bool_())]
+
+    return annotate(docs, [T.StructField("lettered", T.BooleanType())], run)

@@ -43,3 +43,10 @@ def test_stages(spark):
         assert not (gone - planted_gone) & {10_001, 10_002, 10_003, 10_004}
         docs = left
     assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).count() == docs.count()
+
+
+def test_language_stage_without_profiles(spark):
+    rows = [(1, "the cat", None), (2, None, None), (3, "12 !", " "), (4, "ñandú", ""), (None, "no id", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("Lettered", F.lit("own"))
+    left = corpus_pipeline.by_language(spark, docs, DATA)
+    assert left.columns == docs.columns and {(r.doc_id, r.Lettered) for r in left.collect()} == {(1, "own"), (4, "own"), (None, "own")}
