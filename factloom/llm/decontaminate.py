@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts
-from .neardup import _draws, _mixed
+from .words import draws as _draws, mixed as _mixed
 from .pieces import Memory
 
 WORDS, SHARE, LONG = 5, 0.8, 13

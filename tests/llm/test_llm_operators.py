@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from factloom.llm import (
-    bpe, decontaminate, fingerprints, language, neardup, pieces, quality, records, shards, toxicity, urlfilter,
+    bpe, decontaminate, fingerprints, language, neardup, pieces, quality, records, shards, toxicity, urlfilter, words,
 )
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -122,13 +122,51 @@ def test_near_duplicates_match_brute_force(spark, docs, texts):
     assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted({x for i, x in enumerate(label)})
 
 
-def test_candidates_that_share_one_band(spark):
-    assert [neardup.agree(p) for p in (50, 80, 85)] == [1, 1, 3]
-    bands = [(n, 100, [(n * 100 + i) << 32 for i in range(27)] + [7 << 32]) for n in (1, 2)]
-    bands = spark.createDataFrame(bands, "node long, n long, bands array<long>")
-    members = bands.select(F.explode("bands").alias("bucket"), "node", F.col("node").alias("comp"))
-    assert neardup.unsettled(members, bands, 80).collect() == [(1, 2)]
-    assert neardup.unsettled(members, bands, 85).count() == 0
+def test_word_hashes_cut_and_fold_like_bytes():
+    rng = np.random.default_rng(8)
+    alphabet = list("abAB \t\n\x0b\x1c\x85\u3000é中")
+    docs = ["".join(rng.choice(alphabet, rng.integers(0, 60))) for _ in range(300)] + ["x" * 70_000 + " " + "x" * 70_001, "", "w " * 90_000]
+    flat, counts = words.word_hashes(docs)
+    want = [t.encode().lower().split() for t in docs]
+    assert counts.tolist() == [len(w) for w in want]
+    of = dict(zip((x for w in want for x in w), flat.tolist(), strict=True))
+    assert len(set(of.values())) == len(of) and [of[x] for w in want for x in w] == flat.tolist()
+    assert [len(g) for g in words.grouped(["a"] * 5, rows=2)] == [2, 2, 1]
+
+
+def test_groups_alike_below_the_threshold_are_parted(spark):
+    rng = np.random.default_rng(3)
+    passage = [f"p{i}" for i in range(100)]
+    rows = [passage + [f"o{d}-{i}" for i in range(20)] for d in range(60)]  # alike at 0.71 to each other
+    chain = list(rows[0])
+    for d in range(12):  # each alike to the one before it, not to the first
+        chain = list(chain)
+        for i in rng.choice(len(chain), 2, replace=False):
+            chain[i] = f"c{d}-{i}"
+        rows.append(chain)
+    texts = [" ".join(r) for r in rows]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sizes, label = brute_components(texts, 3, 85)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs, k=3, percent=85).collect()}
+    assert got == {i: (sizes[i], label[i]) for i in range(len(texts))} and len(set(label)) < len(texts) - 5
+    # all in one bucket, each a component of its own: those alike enough are candidates, most others are not
+    nodes = spark.createDataFrame([(i, 7, i) for i in range(len(texts))], "node long, bucket long, comp long")
+    sets = neardup.with_sets(docs, 3).select(F.col("doc_id").alias("node"), F.size("set").alias("n"), "set")
+    bands = nodes.select("node", F.array("bucket").alias("bands"))
+    pairs = {tuple(r) for r in neardup.unsettled(nodes.select("bucket", "node", "comp"), sets, bands, 85).collect()}
+    grams = [{tuple(r[i : i + 3]) for i in range(len(r) - 2)} for r in rows]
+    alike = {(a, b) for a, b in combinations(range(len(rows)), 2) if 100 * len(grams[a] & grams[b]) >= 85 * len(grams[a] | grams[b])}
+    assert alike <= pairs and len(pairs) < 150
+
+
+def test_one_id_with_several_texts(spark):
+    a, b, c = prose(1, 40), prose(2, 40), prose(3, 40)
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, c), (4, c), (None, c + " end"), (None, c + " end"), (9, "a b"), (9, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in neardup.near_duplicates(docs, k=3, percent=80).collect())
+    assert got == [(0, 0, True)] * 2 + [(1, 1, True)] * 2 + [(2, 1, False), (3, 1, False)] + [(4, 4, True)] * 2 + [(9, 9, True)] * 2
+    left = neardup.one_of_each(docs, k=3, percent=80)
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(0, c + " end")] * 2 + [(1, a), (1, b), (4, c), (9, "a b")])
 
 
 def test_fingerprints_match_brute_force(spark, docs, texts):
