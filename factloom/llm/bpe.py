@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,51 +24,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import annotate, texts
-from .pieces import Joined, chunks
+from .pieces import PATTERN, Pieces, Slots
+from .words import grouped
 
 LONGEST = 2048
-ENTRIES = 450_000
 NONE = np.int32(2**31 - 1)
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class PairTable:
     """(left id, right id) -> rank of the merged token, by open addressing in numpy arrays."""
 
     def __init__(self, keys: np.ndarray, ranks: np.ndarray):
-        self.bits = max(4, int(len(keys) * 4).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.ranks = np.full(1 << self.bits, NONE, np.int32)
-        slot, self.probes = self._slot(keys), 1
-        while len(keys):
-            free = np.flatnonzero(self.keys[slot] == -1)
-            _, first = np.unique(slot[free], return_index=True)
-            won = free[first]
-            self.keys[slot[won]], self.ranks[slot[won]] = keys[won], ranks[won]
-            left = np.ones(len(keys), bool)
-            left[won] = False
-            keys, ranks, slot = keys[left], ranks[left], (slot[left] + 1) & ((1 << self.bits) - 1)
-            self.probes += bool(len(keys))
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * _ODD) >> np.uint64(64 - self.bits)).astype(np.int64)
+        self.slots = Slots(max(4, int(len(keys) * 4).bit_length()))
+        self.slots.add(keys, ranks)
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """NONE where the pair doesn't merge; a negative id never merges."""
-        keys = (left.astype(np.int64) << 32) | right.astype(np.int64)
-        slot = self._slot(keys)
-        found = self.keys[slot]
-        out = np.where(found == keys, self.ranks[slot], NONE)
-        open_ = np.flatnonzero((found != keys) & (found != -1))
-        for _ in range(self.probes):
-            if not len(open_):
-                break
-            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
-            found = self.keys[slot[open_]]
-            hit = found == keys[open_]
-            out[open_[hit]] = self.ranks[slot[open_[hit]]]
-            open_ = open_[~hit & (found != -1)]
-        out[(left < 0) | (right < 0)] = NONE
+        out = self.slots.find((left.astype(np.int64) << 32) | right.astype(np.int64))
+        out[(out < 0) | (left < 0) | (right < 0)] = NONE
         return out
 
 
@@ -194,16 +167,16 @@ class BytePairs:
     def _spelling(self, i: int) -> bytes:
         return self.bytes[self.starts[i] : self.starts[i] + self.lengths[i]].tobytes()
 
-    def encode_chunks(self, new: list[str]) -> list[bytes]:
-        """Each chunk's ids as little-endian int32 bytes."""
+    def encode_parts(self, new: list[bytes]) -> list[bytes]:
+        """Each part's ids as little-endian int32 bytes; the pattern cuts parts further."""
         out: list[bytes | None] = [None] * len(new)
-        whole = [i for i, c in enumerate(new) if (c[1:] if c[0] == " " else c).isalpha()]  # one piece each
-        for i, v in zip(whole, self.encode_pieces([new[i].encode() for i in whole]), strict=True):
+        whole = [i for i, c in enumerate(new) if (c[1:] if c[:1] == b" " else c).isalpha()]  # one piece each
+        for i, v in zip(whole, self.encode_pieces([new[i] for i in whole]), strict=True):
             out[i] = v
         rest = [i for i, v in enumerate(out) if v is None]
-        split = [self.cut.findall(new[i]) for i in rest]
+        split = [[p.encode() for p in self.cut.findall(new[i].decode())] for i in rest]
         distinct = list(set().union(*split))
-        ids = dict(zip(distinct, self.encode_pieces([p.encode() for p in distinct]), strict=True))
+        ids = dict(zip(distinct, self.encode_pieces(distinct), strict=True))
         for i, ps in zip(rest, split, strict=True):
             out[i] = b"".join([ids[p] for p in ps])
         return out
@@ -216,23 +189,24 @@ class BytePairs:
         return self.bytes[index + np.repeat(self.starts[ids] - (ends - size), size)]
 
 
-_LOADED: dict[tuple[str, str], tuple[BytePairs, Joined]] = {}
+_LOADED: dict[tuple[str, str], tuple[BytePairs, Pieces]] = {}
 
 
-def loaded(path: str, pattern: str) -> tuple[BytePairs, Joined]:
+def loaded(path: str, pattern: str) -> tuple[BytePairs, Pieces]:
     """The vocabulary and its memory, once for each Python worker."""
     if (path, pattern) not in _LOADED:
         pairs = BytePairs.from_file(path, pattern)
-        _LOADED[path, pattern] = pairs, Joined(pairs.encode_chunks, ENTRIES)
+        _LOADED[path, pattern] = pairs, Pieces(pairs.encode_parts)
     return _LOADED[path, pattern]
 
 
-def encode_texts(docs: Iterable[str], path: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(docs: list[str], path: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids of the texts, and each text's number of ids."""
-    _, memory = loaded(path, pattern)
-    parts = [b"".join(x) for x in memory.of([chunks(t) for t in docs])]
-    counts = np.array([len(p) // 4 for p in parts], np.int64)
-    return np.frombuffer(b"".join(parts), np.int32), counts
+    pairs, memory = loaded(path, pattern)
+    if pattern == PATTERN:
+        return memory.of(docs)
+    parts = pairs.encode_parts([t.encode() for t in docs])
+    return np.frombuffer(b"".join(parts), np.int32), np.array([len(p) // 4 for p in parts], np.int64)
 
 
 def encode_decode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -241,8 +215,8 @@ def encode_decode(df: DataFrame, path: str, pattern: str, text: str = "text") ->
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         pairs, _ = loaded(path, pattern)
         outs: list[list[pa.Array]] = [[], []]
-        for at in range(0, len(batch), 500):  # bounds the strings and flat arrays held at once
-            ids, counts = encode_texts(texts(batch.slice(at, 500), text), path, pattern)
+        for part in grouped(texts(batch, text)):  # bounds the strings and flat arrays held at once
+            ids, counts = encode_texts(part, path, pattern)
             ends = np.concatenate([[0], np.cumsum(counts)])
             outs[0].append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
             sizes = np.concatenate([[0], np.cumsum(pairs.lengths[ids])])[ends]

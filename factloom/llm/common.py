@@ -53,12 +53,20 @@ def dropped(df: DataFrame) -> None:
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what one Arrow batch holds, unless the cluster says otherwise: long texts make batches of few rows."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, "4m")
+
+
 def annotate(
     df: DataFrame, made: Sequence[T.StructField], fn: Callable[[pa.RecordBatch], Sequence[pa.Array]], drop: Sequence[str] = ()
 ) -> DataFrame:
     """Appends columns made by `fn` from each Arrow batch; every other column but `drop` passes through.
 
     An input column that has the name of a made one (in any case) gives way to it."""
+    small_batches(df.sparkSession)
     names = {f.name.lower() for f in made} | set(drop)
     keep = [f.name for f in df.schema.fields if f.name.lower() not in names]
     schema = T.StructType([df.schema[n] for n in keep] + list(made))

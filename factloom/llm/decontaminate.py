@@ -10,7 +10,12 @@ document and the other way round. An item is leaked when consistent diagonals co
 windows, so re-parameterised questions are caught and chance mixtures are not, or when a diagonal holds
 LONG consecutive words of it with their very values (case apart), whatever its share.
 
-Defined cases: null and empty texts have no windows; an item of fewer than WORDS tokens cannot leak;
+Windows of placeholders alone say nothing (a table of numbers would meet every item that has one): they
+are no windows, neither of items nor of documents. A window of which only names are left in its named
+template has the folded one alone.
+
+Defined cases: null and empty texts have no windows; an item of fewer than WORDS tokens, or without a
+plain word, cannot leak (so short a part is in clean texts too); columns that share a name are not used;
 repeated rows with one doc_id count as one document; rows with a null id are not searched; empty
 tables give an empty result; other columns are not used.
 """
@@ -22,16 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
-from .words import draws as _draws, mixed as _mixed
-from .pieces import Memory
+from .common import small_batches, texts
+from .words import draws, grouped, hashes_of, mixed, odd_white
 
 WORDS, SHARE, LONG = 5, 0.8, 13
-ENTRIES = 400_000
 #: Up to so many benchmark windows are sent to the executors to sift documents before the join (8 bytes each).
 SIFT = 2_000_000
 # Units that become a placeholder after a number.
@@ -45,49 +47,111 @@ UNITS = frozenset(
 _NUMBER = re.compile(r"[+\-$€£]?\d[\d.,:/]*(?:%|[a-z]{1,3})?")
 _EDGE = "\"'()[]{}<>.,;:!?*#&|_~`"
 _SKIP, _END, _CAPITAL, _NUM, _UNIT = 1, 2, 4, 8, 16
-_PLACE = _draws(64, 23)
+_PLACE = draws(64, 23)
 _NAME_CODE, _NUM_CODE, _UNIT_CODE = (np.uint64(x) for x in (3, 5, 7))
 #: Templates of a window: one without names has PLAIN alone, any other NAMED and FOLDED.
 PLAIN, NAMED, FOLDED = 0, 1, 2
 
 
-def _token(raw: str) -> bytes:
-    """A raw token's hash and flags."""
-    if raw == "\x00":
-        return (0).to_bytes(8, "little") + (_SKIP | _END).to_bytes(8, "little")
-    word = raw.strip(_EDGE)
-    end = _END if raw.rstrip("\"')]}*#&|_~`")[-1:] in (".", "!", "?") else 0
-    if not word:
-        return (0).to_bytes(8, "little") + (_SKIP | end).to_bytes(8, "little")
-    low = word.lower()
-    folded = word.casefold()
-    flags = end | (_CAPITAL if word[0].isupper() else 0)
-    flags |= _NUM if _NUMBER.fullmatch(low) else _UNIT if low in UNITS else 0
-    return xxhash.xxh64_digest(folded.encode(), 1)[::-1] + flags.to_bytes(8, "little")
+def _bytes(chars: str) -> np.ndarray:
+    found = np.zeros(256, bool)
+    found[list(chars.encode())] = True
+    return found
+
+
+_IS_WHITE, _IS_EDGE, _IS_CLOSE = _bytes(" \t\n\r\v\f\x1c\x1d\x1e\x1f"), _bytes(_EDGE), _bytes("\"')]}*#&|_~`")
+_IS_STOP, _IS_UPPER, _STARTS_NUMBER = _bytes(".!?"), _bytes("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _bytes("+-$0123456789")
+
+
+def _codes(cores: list[str]) -> np.ndarray:
+    folded = [c.casefold().encode() for c in cores]
+    sizes = np.array(list(map(len, folded)), np.int64)
+    return hashes_of(np.frombuffer(b"".join(folded), np.uint8), np.cumsum(sizes) - sizes, sizes)
 
 
-_TOKENS = Memory(lambda new: list(map(_token, new)), ENTRIES)
+_UNIT_CODES = np.sort(_codes(sorted(UNITS)))
+
+
+def tokens(docs: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of the texts: the texts' bytes, then each token's text number, first byte and size without outer
+    marks, hash of it in lower case, and flags. A token after a line end has _END set on the one before it."""
+    parts = [t.encode() for t in docs]
+    raw = b"\n".join(parts) + b"\n"
+    until = np.cumsum([len(p) + 1 for p in parts])
+    data = np.frombuffer(raw, np.uint8).copy()
+    data[odd_white(data)] = 32
+    white = _IS_WHITE[data]
+    edge = np.flatnonzero(np.diff(~white, prepend=False, append=False))
+    low, high = edge[::2], edge[1::2]
+    doc = np.searchsorted(until, low, "right")
+
+    def bounds(inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last byte of each token that is in `inner`; none where last < first."""
+        inner = inner & ~white
+        seen = np.concatenate([[0], np.cumsum(inner, dtype=np.int32)])
+        at = np.append(np.flatnonzero(inner), len(data))
+        first, last = seen[low], seen[high] - 1
+        return at[first], np.where(last < first, -1, at[np.maximum(last, 0)])
+
+    first, last = bounds(~_IS_EDGE[data])
+    size = np.where(last < 0, 0, last - first + 1)
+    flags = np.where(size == 0, _SKIP, 0)
+    _, close = bounds(~_IS_CLOSE[data])
+    flags[(close >= 0) & _IS_STOP[data[close]]] |= _END
+    lines = np.cumsum(data == 10, dtype=np.int32)
+    flags[:-1][lines[low[1:] - 1] > lines[high[:-1] - 1]] |= _END
+    # letters of two bytes from C3 on have their upper case 32 below; others but ASCII take the slow way
+    c3 = np.flatnonzero(data == 0xC3) + 1
+    upper = c3[(data[c3] < 0x9F) & (data[c3] != 0x97)]
+    hard = data >= 0x80
+    easy = c3[(data[c3] != 0x9F)]
+    hard[easy] = hard[easy - 1] = False
+    capital = _IS_UPPER[data]
+    capital[upper - 1] = True
+    data[upper] += 32
+    some = np.flatnonzero(size)
+    code = np.zeros(len(low), np.uint64)
+    code[some] = hashes_of(data, first[some], size[some])
+    begins = data[np.minimum(first, len(data) - 1)]
+    flags[(size > 0) & capital[np.minimum(first, len(data) - 1)]] |= _CAPITAL
+    flags[some[np.isin(code[some], _UNIT_CODES)]] |= _UNIT
+    text = lambda i: raw[first[i] : first[i] + size[i]].decode()
+    number = np.flatnonzero((size > 0) & _STARTS_NUMBER[begins])
+    distinct, one, back = np.unique(code[number], return_index=True, return_inverse=True)
+    is_number = np.array([_NUMBER.fullmatch(text(i).lower()) is not None for i in number[one].tolist()], bool)
+    yes = number[is_number[back]] if len(distinct) else number
+    flags[yes] = flags[yes] & ~_UNIT | _NUM
+    seen = np.concatenate([[0], np.cumsum(hard, dtype=np.int32)])
+    slow = some[seen[first[some] + size[some]] > seen[first[some]]]
+    if len(slow):
+        cores = [text(i) for i in slow.tolist()]
+        distinct_cores = list(set(cores))
+        place = {c: i for i, c in enumerate(distinct_cores)}
+        codes, lower = _codes(distinct_cores), [c.lower() for c in distinct_cores]
+        kinds = np.array(
+            [(_CAPITAL if c[0].isupper() else 0) | (_NUM if _NUMBER.fullmatch(w) else _UNIT if w in UNITS else 0) for c, w in zip(distinct_cores, lower, strict=True)]
+        )
+        at = np.array([place[c] for c in cores])
+        code[slow] = codes[at]
+        flags[slow] = flags[slow] & ~(_CAPITAL | _NUM | _UNIT) | kinds[at]
+    return raw, doc, first, size, code, flags
 
 
 def _hashes(code: np.ndarray, n: int) -> np.ndarray:
-    code = _mixed(code)
+    code = mixed(code)
     h = np.zeros(n, np.uint64)
     for i in range(WORDS):
         h += code[i : n + i] * _PLACE[i]
-    return _mixed(h)
+    return mixed(h)
 
 
 def _found(docs: list[str], wanted: np.ndarray | None) -> Iterator[tuple[int, int, int, int, list[str]]]:
     """(document number, window position, form, hash, slot values) of windows whose hash is wanted."""
-    raw = [t.replace("\n", " \x00 ").split() for t in docs]
-    data = np.frombuffer(b"".join([b"".join(v) for v in _TOKENS.of(raw)]), np.uint64).reshape(-1, 2)
-    code, flags = data[:, 0].copy(), data[:, 1].astype(np.int64)
-    doc = np.repeat(np.arange(len(docs)), [len(r) for r in raw])
-    at = np.concatenate([np.arange(len(r)) for r in raw]) if raw else np.empty(0, np.int64)
+    raw, doc, at, size, code, flags = tokens(docs)
     start = np.ones(len(code), bool)
     start[1:] = ((flags[:-1] & _END) > 0) | (doc[1:] != doc[:-1])
     keep = (flags & _SKIP) == 0
-    code, flags, doc, at, start = code[keep], flags[keep], doc[keep], at[keep], start[keep]
+    code, flags, doc, at, size, start = code[keep], flags[keep], doc[keep], at[keep], size[keep], start[keep]
     n = len(code) - WORDS + 1
     if n < 1:
         return
@@ -95,9 +159,11 @@ def _found(docs: list[str], wanted: np.ndarray | None) -> Iterator[tuple[int, in
     unit = np.zeros(len(code), bool)
     unit[1:] = ((flags[1:] & _UNIT) > 0) & number[:-1] & (doc[1:] == doc[:-1])
     name = ((flags & _CAPITAL) > 0) & ~start & ~number & ~unit
-    holds = np.zeros(n, bool)
+    holds, worded, plain = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, bool)
     for i in range(WORDS):
         holds |= name[i : n + i]
+        worded |= ~(number | unit)[i : n + i]
+        plain |= ~(number | unit | name)[i : n + i]
     whole = doc[:n] == doc[WORDS - 1 :]
     first = np.searchsorted(doc, np.arange(len(docs)))
     code[number], code[unit] = _NUM_CODE, _UNIT_CODE
@@ -105,8 +171,8 @@ def _found(docs: list[str], wanted: np.ndarray | None) -> Iterator[tuple[int, in
     code[name] = _NAME_CODE
     slot = number | unit
     for h, ok, slot, form in (
-        (folded, whole, slot, np.where(holds, FOLDED, PLAIN)),
-        (_hashes(code, n), whole & holds, slot | name, np.full(n, NAMED)),
+        (folded, whole & worded, slot, np.where(holds, FOLDED, PLAIN)),
+        (_hashes(code, n), whole & holds & plain, slot | name, np.full(n, NAMED)),
     ):
         if wanted is not None and len(wanted):
             ok = ok & (wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h)
@@ -115,7 +181,7 @@ def _found(docs: list[str], wanted: np.ndarray | None) -> Iterator[tuple[int, in
         signed = h.view(np.int64)
         for i in np.flatnonzero(ok).tolist():
             d = int(doc[i])
-            values = [raw[d][at[j]].strip(_EDGE) for j in range(i, i + WORDS) if slot[j]]
+            values = [raw[at[j] : at[j] + size[j]].decode() for j in range(i, i + WORDS) if slot[j]]
             yield d, i - int(first[d]), int(form[i]), int(signed[i]), values
 
 
@@ -125,8 +191,10 @@ def windows(df: DataFrame, key: str, wanted: np.ndarray | None = None) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(b.schema.get_field_index("id")).to_pylist()
-            for low in range(0, len(b), 500):
-                rows = [(ids[low + d], *r) for d, *r in _found(texts(b.slice(low, 500)), wanted)]
+            low = 0
+            for docs in grouped(texts(b)):
+                rows = [(ids[low + d], *r) for d, *r in _found(docs, wanted)]
+                low += len(docs)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int64()),
@@ -138,6 +206,7 @@ def windows(df: DataFrame, key: str, wanted: np.ndarray | None = None) -> DataFr
                     names=["id", "pos", "form", "hash", "slots"],
                 )
 
+    small_batches(df.sparkSession)
     named = df.select(F.col(key).cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     return named.where("id is not null").mapInArrow(run, "id long, pos long, form int, hash long, slots array<string>")
 
@@ -173,7 +242,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
     one_to_one = (F.size(F.array_distinct("alike.theirs")) == F.size("alike")) & (
         F.size(F.array_distinct("alike.ours")) == F.size("alike")
     )
-    sizes = items.where(F.col("item_form") != FOLDED).groupBy("item_id").agg(F.count("*").alias("n"))
+    sizes = items.groupBy("item_id").agg(F.countDistinct("item_pos").alias("n"))
     # of a diagonal that contradicts itself, a long run counts alone
     lines = lines.select(
         "doc_id", "item_id", long.alias("long"), one_to_one.alias("fits"),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from .common import annotate, remainder, texts
+from .common import annotate, remainder, small_batches, texts
 
 #: Ranks in a profile, and documents of each language that a fit expects to see.
 PLACES, PER_LANGUAGE = 300, 1500
@@ -120,6 +120,7 @@ def train(docs: DataFrame, lang: str = "lang", per_language: int = PER_LANGUAGE,
                 names=["lang", "code", "n"],
             )
 
+    small_batches(docs.sparkSession)
     counts = taken.select("lang", "text").mapInArrow(run, "lang string, code long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     best = (

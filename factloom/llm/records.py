@@ -16,6 +16,8 @@ file and an empty result; other input columns are not used.
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import sys
 import uuid
@@ -29,17 +31,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, texts
-from .pieces import Joined, chunks
+from .common import shared_folder, small_batches, texts
+from .pieces import Pieces
+from .words import grouped
 
-ENTRIES = 450_000
 #: Pieces that one call of the library encodes as one text.
 TOGETHER = 250
 NO_ID = -(2**63)
 _INDEX = np.dtype([("offset", "<u8"), ("before", "<u8"), ("doc_id", "<i8"), ("n", "<u4")])
 MANIFEST = "part int, name string, records long, ids long, width int"
 ROWS = "doc_id long, start long, ids binary"
-_LOADED: dict[str, tuple[Joined, int]] = {}
+_LOADED: dict[tuple[str, bool], "Library"] = {}
 
 
 def masked(data: bytes) -> int:
@@ -72,45 +74,68 @@ def little(ids: list[int]) -> bytes:
     return data.tobytes()
 
 
-def _loaded(path: str) -> tuple[Joined, int]:
-    if path not in _LOADED:
-        import os
+class Library:
+    """The tokenizers library behind a memory of pieces; texts whose pieces are not told from bytes go to it whole.
 
+    `special`: special tokens spelled out in a text give their own id, as is the library's default."""
+
+    def __init__(self, path: str, special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
-
-        (mark,) = tok.encode("\n", add_special_tokens=False).ids
-
-        def make(new: list[str]) -> list[bytes]:
-            """Words are encoded some hundred to a text, a line end between them, which no piece crosses."""
-            single = [(p[1:] if p[0] == " " else p).split() in ([p], [p[1:]]) for p in new]
-            words = [i for i, s in enumerate(single) if s]
-            others = [i for i, s in enumerate(single) if not s]
-            out: list[bytes] = [b""] * len(new)
-            for at in range(0, len(words), TOGETHER * 20):
-                groups = [words[i : i + TOGETHER] for i in range(at, min(at + TOGETHER * 20, len(words)), TOGETHER)]
-                joined = ["\n".join([new[i] for i in g]) for g in groups]
-                for g, e in zip(groups, tok.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-                    ids = np.array(e.ids, "<u4")
-                    ends = np.append(np.flatnonzero(ids == mark), len(ids))
-                    if len(ends) != len(g):
-                        raise ValueError("a piece holds the id of the line end")
-                    data, start = ids.tobytes(), 0
-                    for i, end in zip(g, (ends * 4).tolist(), strict=True):
-                        out[i] = data[start:end]
-                        start = end + 4
-            for at in range(0, len(others), 5000):  # the library's own results are large
-                part = others[at : at + 5000]
-                found = tok.encode_batch_fast([new[i] for i in part], add_special_tokens=False)
-                for i, e in zip(part, found, strict=True):
-                    out[i] = little(e.ids)
-            return out
-
-        _LOADED[path] = Joined(make, ENTRIES), tok.get_vocab_size()
-    return _LOADED[path]
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = not special
+        self.size = self.tok.get_vocab_size()
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        before = made.get("pre_tokenizer") or {}
+        self.cuts = not made.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+        self.cuts = self.cuts and not before.get("add_prefix_space") and made["model"]["type"] == "BPE"
+        self.apart = [t["content"] for t in made.get("added_tokens", []) if special or not t["special"]]
+        self.memory = Pieces(self._pieces)
+        (self.mark,) = self._library(["\n"])[0] if self.cuts else (None,)
+
+    def _library(self, texts_: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts_, add_special_tokens=False)]
+
+    def _pieces(self, new: list[bytes]) -> list[bytes]:
+        """Pieces without white space but for a blank before them go some hundred to a text, a line end between them."""
+        single = [(p[1:] if p[:1] == b" " else p).isalnum() for p in new]
+        words = [i for i, s in enumerate(single) if s]
+        others = [i for i, s in enumerate(single) if not s]
+        out: list[bytes] = [b""] * len(new)
+        for at in range(0, len(words), TOGETHER * 20):
+            groups = [words[i : i + TOGETHER] for i in range(at, min(at + TOGETHER * 20, len(words)), TOGETHER)]
+            joined = [b"\n".join([new[i] for i in g]).decode() for g in groups]
+            for g, found in zip(groups, self._library(joined), strict=True):
+                ids = np.array(found, "<u4")
+                ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+                if len(ends) != len(g):
+                    raise ValueError("a piece holds the id of the line end")
+                data, start = ids.tobytes(), 0
+                for i, end in zip(g, (ends * 4).tolist(), strict=True):
+                    out[i] = data[start:end]
+                    start = end + 4
+        for at in range(0, len(others), 5000):  # the library's own results are large
+            part = others[at : at + 5000]
+            for i, ids in zip(part, self._library([new[i].decode() for i in part]), strict=True):
+                out[i] = little(ids)
+        return out
+
+    def encode(self, docs: list[str]) -> list[bytes]:
+        """Each text's ids, little-endian."""
+        whole = [i for i, t in enumerate(docs) if not self.cuts or any(a in t for a in self.apart)]
+        apart = dict(zip(whole, map(little, self._library([docs[i] for i in whole])), strict=True))
+        ids, counts = self.memory.of([t if i not in apart else "" for i, t in enumerate(docs)])
+        data, ends = ids.astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(counts)]) * 4
+        found = [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        return [apart.get(i, v) for i, v in enumerate(found)]
+
+
+def _loaded(path: str, special: bool) -> Library:
+    if (path, special) not in _LOADED:
+        _LOADED[path, special] = Library(path, special)
+    return _LOADED[path, special]
 
 
 def _store(folder: str):
@@ -119,11 +144,14 @@ def _store(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def write(df: DataFrame, folder: str, path: str, end_id: int = 0) -> DataFrame:
-    """Encodes every text, writes the files under `folder` and returns the manifest table."""
+def write(df: DataFrame, folder: str, path: str, end_id: int = 0, special: bool = True) -> DataFrame:
+    """Encodes every text, writes the files under `folder` and returns the manifest table.
+
+    `special`: special tokens spelled out in a text give their own id (the library's default), else they are plain text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, size = _loaded(path)
+        library = _loaded(path, special)
+        size = library.size
         width = 2 if max(size, end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
@@ -132,11 +160,11 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 0) -> DataFrame:
         offset = before = 0
         for b in batches:
             ids = b.column(b.schema.get_field_index("doc_id")).to_pylist()
-            for at in range(0, len(b), 500):
-                found = memory.of([chunks(t) for t in texts(b.slice(at, 500))])
+            at = 0
+            for docs in grouped(texts(b)):
                 block = []
-                for doc_id, values in zip(ids[at : at + 500], found, strict=True):
-                    data = b"".join((*values, end))
+                for doc_id, values in zip(ids[at : at + len(docs)], library.encode(docs), strict=True):
+                    data = values + end
                     n = len(data) // 4
                     if width == 2:
                         data = np.frombuffer(data, "<u4").astype("<u2").tobytes()
@@ -149,6 +177,7 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 0) -> DataFrame:
                 if out is None:
                     out = store.open_output_stream(f"{base}/{name}.rec")
                 out.write(b"".join(block))
+                at += len(docs)
         if out is not None:
             out.close()
             with store.open_output_stream(f"{base}/{name}.idx") as f:
@@ -160,6 +189,7 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 0) -> DataFrame:
             )
 
     spark = df.sparkSession
+    small_batches(spark)
     store, base = _store(folder)
     store.create_dir(base, recursive=True)
     ordered = (

@@ -33,19 +33,46 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _POWER = np.cumprod(np.full(POWERS, draws(1, 42)[0]))
 
 
-def _hashed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's first byte and hash."""
-    inside = ~_SPACE[data]
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, sizes = edge[::2], edge[1::2] - edge[::2]
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices start .. start + size - 1 of all, end to end."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def hashes_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of bytes (none empty), A-Z in lower case."""
     if not len(starts):
-        return starts, np.empty(0, _U)
+        return np.empty(0, _U)
     at = np.cumsum(sizes) - sizes
     place = np.arange(int(sizes.sum())) - np.repeat(at, sizes)
-    value = _BYTE[data[inside]]
+    value = _BYTE[data[place + np.repeat(starts, sizes)]]
     if place.max() >= POWERS:
         value = value ^ mixed((place >> 16).astype(_U))
-    return starts, mixed(np.add.reduceat(value * _POWER[place & (POWERS - 1)], at) + sizes.astype(_U))
+    return mixed(np.add.reduceat(value * _POWER[place & (POWERS - 1)], at) + sizes.astype(_U))
+
+
+def _hashed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's first byte and hash."""
+    edge = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
+    return edge[::2], hashes_of(data, edge[::2], edge[1::2] - edge[::2])
+
+
+_ODD_WHITE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def odd_white(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space beyond ASCII."""
+    found = np.zeros(len(data), bool)
+    for first in (0xC2, 0xE1, 0xE2, 0xE3):
+        at = np.flatnonzero(data == first)
+        for code in _ODD_WHITE:
+            if len(at) and code[0] == first:
+                hit = at
+                for i in range(1, len(code)):
+                    hit = hit[data[hit + i] == code[i]]
+                for i in range(len(code)):
+                    found[hit + i] = True
+    return found
 
 
 def _passes(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
