@@ -1,9 +1,10 @@
 """Operator 6: toxicity by a factorization machine over hashed terms.
 
-Terms (words in lower case without outer marks, and their first four and five letters, which stay
-when endings change) are hashed into buckets. The buckets that tell the
-labels apart best become features; the machine learns a weight and a short vector for each, so that
-pairs of terms count beyond the sum of their weights.
+Terms (words in lower case without outer marks, and their first four and five letters, which stay when
+endings change) are hashed into buckets. A bucket becomes a feature on either of two grounds: it tells the
+labels apart by itself, or together with another one beyond what both do alone, so that two neutral terms
+which are toxic only side by side are learned too. The machine learns a weight and a short vector for each
+feature, so that pairs of terms count beyond the sum of their weights.
 
 Defined cases: a null or empty text has no terms and scores from the bias alone; repeated rows score
 alike; an empty table gives an empty table; without labels of both kinds every score is the smoothed
@@ -25,9 +26,12 @@ from .common import annotate, remainder, texts
 from .labelled import sample
 from .pieces import Memory
 
-#: Most labelled rows that a fit sees, hash bits, most features, length of a feature's vector.
-SAMPLE_ROWS, BITS, MOST, RANK = 12_000, 20, 512, 8
-ENTRIES = 200_000
+#: Most labelled rows that a fit sees, hash bits, length of a feature's vector.
+SAMPLE_ROWS, BITS, RANK = 12_000, 20, 8
+#: Documents a feature must be in, standard errors by which it (or a pair) must differ from no effect, and
+#: buckets of the most even presence among which pairs are searched (their counts are squares of this).
+LEAST, ALONE, TOGETHER, PAIRED = 5, 3.0, 5.0, 1024
+ENTRIES = 150_000
 _EDGE = ".,;:!?\"'()[]{}<>|*#$%&-_=+~`/\\"
 
 
@@ -76,13 +80,14 @@ class Machine:
         doc = np.repeat(np.arange(len(docs)), [len(x) // 4 for x in found])
         feature = self.place[np.frombuffer(b"".join(found), "<i4")].astype(np.int64)
         on = feature >= 0
-        key = np.unique(doc[on] * MOST + feature[on])  # each term once for a document
-        z = self.logits(key // MOST, key % MOST, len(docs))
+        size = max(1, len(self.weight))
+        key = np.unique(doc[on] * size + feature[on])  # each term once for a document
+        z = self.logits(key // size, key % size, len(docs))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def informative(docs: list[np.ndarray], y: np.ndarray, most: int, least: int = 5) -> np.ndarray:
-    """The buckets whose log odds differ most from none, in standard errors; each in `least` documents."""
+def informative(docs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """The buckets, each in LEAST documents, whose log odds differ from none by ALONE standard errors."""
     n1, n0 = y.sum(), len(y) - y.sum()
     size = 1 << BITS
     flat = np.concatenate(docs) if docs else np.empty(0, np.int64)
@@ -91,9 +96,40 @@ def informative(docs: list[np.ndarray], y: np.ndarray, most: int, least: int = 5
     zero = np.bincount(flat, 1 - label, size)
     odds = np.log((one + 0.5) / (n1 - one + 0.5)) - np.log((zero + 0.5) / (n0 - zero + 0.5))
     error = np.sqrt(1 / (one + 0.5) + 1 / (zero + 0.5))
-    z = np.where(one + zero >= least, np.abs(odds) / error, 0)
-    best = np.argsort(-z, kind="stable")[:most]
-    return best[z[best] > 2]
+    return np.flatnonzero((one + zero >= LEAST) & (np.abs(odds) > ALONE * error))
+
+
+def interacting(docs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """The buckets of pairs whose joint log odds differ from the sum of both by TOGETHER standard errors."""
+    count = np.bincount(np.concatenate(docs), minlength=1 << BITS) if docs else np.zeros(1 << BITS)
+    even = np.minimum(count, len(docs) - count)
+    chosen = np.argsort(-even, kind="stable")[:PAIRED]
+    chosen = np.sort(chosen[even[chosen] >= LEAST])
+    both = [np.zeros((len(chosen), len(chosen))) for _ in range(2)]
+    for kind in range(2):
+        rows = np.flatnonzero(y == kind)
+        for at in range(0, len(rows), 1000):
+            part = [docs[i] for i in rows[at : at + 1000]]
+            flat, line = np.concatenate(part), np.repeat(np.arange(len(part)), [len(d) for d in part])
+            place = np.minimum(np.searchsorted(chosen, flat), max(len(chosen) - 1, 0))
+            on = chosen[place] == flat if len(chosen) else np.zeros(len(flat), bool)
+            x = np.zeros((len(part), len(chosen)), np.float32)
+            x[line[on], place[on]] = 1
+            both[kind] += x.T @ x
+    effect = variance = 0.0
+    joint = both[0] + both[1]
+    for a, b, sign in ((1, 1, 1), (1, 0, -1), (0, 1, -1), (0, 0, 1)):
+        cells = []
+        for kind in range(2):
+            m, n = both[kind], (y == kind).sum()
+            alone = np.diag(m)
+            with_a, with_b = alone[:, None], alone[None, :]
+            cells.append({(1, 1): m, (1, 0): with_a - m, (0, 1): with_b - m, (0, 0): n - with_a - with_b + m}[a, b] + 0.5)
+        effect = effect + sign * (np.log(cells[1]) - np.log(cells[0]))
+        variance = variance + 1 / cells[0] + 1 / cells[1]
+    found = (np.abs(effect) > TOGETHER * np.sqrt(variance)) & (joint >= LEAST)
+    np.fill_diagonal(found, False)
+    return chosen[found.any(axis=1)]
 
 
 def one_of_each(docs: list[np.ndarray], seed: int = 7) -> np.ndarray:
@@ -120,17 +156,16 @@ def one_of_each(docs: list[np.ndarray], seed: int = 7) -> np.ndarray:
 
 
 def fit(
-    docs: list[np.ndarray], y: np.ndarray, epochs: int = 30, rate: float = 0.2, l2: float = 1e-5, seed: int = 7,
-    most: int = MOST,
-) -> Machine:
+    docs: list[np.ndarray], y: np.ndarray, epochs: int = 30, rate: float = 0.2, l2: float = 1e-5, seed: int = 7
+) -> Machine:
     """docs: each row's distinct buckets. Adagrad over minibatches."""
     share = (y.sum() + 1) / (len(y) + 2)
-    model = Machine(float(np.log(share / (1 - share))), np.full(1 << BITS, -1, np.int16), np.zeros(0), np.zeros((0, RANK)))
+    model = Machine(float(np.log(share / (1 - share))), np.full(1 << BITS, -1, np.int32), np.zeros(0), np.zeros((0, RANK)))
     if not 0 < y.sum() < len(y):
         return model
     kept = one_of_each(docs)
     docs, y = [docs[i] for i in kept], y[kept]
-    chosen = informative(docs, y, most)
+    chosen = np.union1d(informative(docs, y), interacting(docs, y))
     model.place[chosen] = np.arange(len(chosen))
     rows = [f[f >= 0].astype(np.int64) for f in (model.place[d] for d in docs)]
     rng = np.random.default_rng(seed)
@@ -180,7 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     )
     if not len(got):
         return fit([], np.zeros(0))
-    return fit([np.frombuffer(b, "<i4").astype(np.int64) for b in got["b"]], got["y"].to_numpy(float))
+    return fit([np.frombuffer(b, "<i4") for b in got["b"]], got["y"].to_numpy(float))
 
 
 def classify(docs: DataFrame, model: Machine, threshold: float = 0.7) -> DataFrame:

@@ -277,6 +277,35 @@ def test_classifiers_learn_and_hold_out(spark, module, label, column):
     assert blank.select("score").distinct().count() == 1
 
 
+def test_pairs_of_neutral_terms_decide():
+    """Either term alone says nothing; a sum of weights can't tell, the vectors can."""
+    rng = np.random.default_rng(0)
+    a, b = rng.random(1500) < 0.5, rng.random(1500) < 0.5
+    docs = [np.unique(np.r_[rng.choice(500, 20, replace=False) + 10, [1] * int(x), [2] * int(y)]).astype(np.int32) for x, y in zip(a, b, strict=True)]
+    y = (a ^ b).astype(float)
+    assert not {1, 2} & set(toxicity.informative(docs, y)) and {1, 2} <= set(toxicity.interacting(docs, y))
+    model = toxicity.fit(docs[:1000], y[:1000])
+    feature = model.place[np.concatenate(docs[1000:])]
+    doc = np.repeat(np.arange(500), [len(d) for d in docs[1000:]])[feature >= 0]
+    right = lambda m: ((m.logits(doc, feature[feature >= 0], 500) > 0) == y[1000:]).mean()
+    whole = right(model)
+    model.vector = model.vector * 0
+    assert whole > 0.98 and right(model) < 0.8
+
+
+def test_scores_of_blank_and_repeated_texts(spark):
+    docs, labels, _ = classifier_rows(spark)
+    for module, column in ((quality, "text"), (toxicity, "other")):
+        model = module.train(docs.select("doc_id", F.col(column).alias("text")), labels)
+        rows = [(1, None), (2, ""), (None, "nasty rotten"), (4, "nasty rotten"), (4, "nasty rotten"), (5, "x " * 300_000)]
+        got = module.classify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+        score = [r.score for r in got]
+        assert len(got) == 6 and score[0] == score[1] and len(set(score[2:5])) == 1 and all(0 <= x <= 1 for x in score)
+        assert module.classify(docs.limit(0), model).count() == 0
+        if module is toxicity:
+            assert abs(score[0] - 1 / (1 + np.exp(-model.bias))) < 1e-12 and score[2] > 0.7
+
+
 def test_leaks_and_slots(spark):
     bench = spark.createDataFrame(
         [(1, "Tom buys 3 apples and gives Ann 3 pears on the 5 km road to Rome today"), (2, "short one"), (3, None)], "item_id long, text string"
