@@ -71,7 +71,7 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     data = F.coalesce("text", F.lit("")).cast("binary")
-    return shards.shuffle_into(docs, "doc_id", 16).select(
+    return shards.shuffle_into(docs, 16).select(
         "doc_id",
         (F.octet_length(data) + 1).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"),

@@ -280,7 +280,7 @@ def test_classifiers_learn_and_hold_out(spark, module, label, column):
 def test_pairs_of_neutral_terms_decide():
     """Either term alone says nothing; a sum of weights can't tell, the vectors can."""
     rng = np.random.default_rng(0)
-    a, b = rng.random(1500) < 0.5, rng.random(1500) < 0.5
+    a, b = np.arange(1500) % 2 == 1, np.arange(1500) // 2 % 2 == 1
     docs = [np.unique(np.r_[rng.choice(500, 20, replace=False) + 10, [1] * int(x), [2] * int(y)]).astype(np.int32) for x, y in zip(a, b, strict=True)]
     y = (a ^ b).astype(float)
     assert not {1, 2} & set(toxicity.informative(docs, y)) and {1, 2} <= set(toxicity.interacting(docs, y))
@@ -358,23 +358,49 @@ def test_leaks_by_a_long_run(spark):
 
 
 def test_shards_are_exact_and_repeatable(spark):
-    docs = spark.range(1003).select((F.col("id") % 1000).alias("doc_id"), F.lit("x").alias("text"), F.lit(1).alias("slot"))
-    run = lambda: shards.shuffle_into(docs, "doc_id", 16, rows=50).toPandas()
-    got = run()
+    # a third of all rows have no id and are equal in every column
+    docs = spark.range(1003).select(F.when(F.col("id") % 3 > 0, F.col("id") % 500).alias("doc_id"), F.lit("x").alias("text"), F.lit(1).alias("Slot")).repartition(5)
+    run = lambda rows: shards.shuffle_into(docs, 16, rows=rows).toPandas()
+    got = run(20)
+    assert list(got.columns) == ["doc_id", "text", "shard", "slot"]
     sizes = got.groupby("shard")["slot"].agg(["min", "max", "count", "nunique"])
     assert len(got) == 1003 and len(sizes) == 16 and set(sizes["count"]) == {62, 63}
     assert (sizes["min"] == 0).all() and (sizes["max"] + 1 == sizes["count"]).all() and (sizes["nunique"] == sizes["count"]).all()
     key = ["shard", "slot"]
-    assert got.sort_values(key)["doc_id"].tolist() == run().sort_values(key)["doc_id"].tolist()
-    assert shards.shuffle_into(docs.limit(0), "doc_id", 16).count() == 0
-
-
-def test_matrix_margins():
-    parts, want = np.array([5, 0, 17, 8]), np.array([10, 10, 10])
-    m = shards.matrix(parts, want, 3)
-    assert (m.sum(axis=1) == parts).all() and (m.sum(axis=0) == want).all()
-    mean = np.mean([shards.matrix(parts, want, s)[2, 0] for s in range(400)])
-    assert abs(mean - 17 / 3) < 0.3
+    assert got.sort_values(key)["doc_id"].fillna(-1).tolist() == run(20).sort_values(key)["doc_id"].fillna(-1).tolist()
+    null = got[got.doc_id.isna()].groupby("shard").size()  # equal rows are spread like others
+    assert len(null) == 16 and null.max() < 40
+    few = shards.shuffle_into(docs.limit(3), 16).toPandas()
+    assert few["shard"].tolist() and set(few["shard"]) == {0, 1, 2} and set(few["slot"]) == {0}
+    assert shards.shuffle_into(docs.limit(0), 16).count() == 0
+
+
+def test_every_order_is_as_likely(spark):
+    """Four rows of two partitions, dealt with many seeds: each row is at each place a quarter of the time."""
+    docs = spark.createDataFrame([(i,) for i in range(4)], "doc_id long").repartition(2).persist()
+    seen = np.zeros((4, 4))
+    for seed in range(60):
+        for r in shards.shuffle_into(docs, 2, seed=seed).collect():
+            seen[r.doc_id, 2 * r.shard + r.slot] += 1
+    assert (seen.sum(axis=0) == 60).all() and abs(seen - 15).max() < 14
+
+
+def test_matrix_margins_and_law():
+    parts, cells = np.array([5, 0, 17, 8]), np.array([10, 10, 10])
+    until = np.concatenate([[0], np.cumsum(parts)])
+    whole = lambda s: np.array([shards.line(until, p, cells, s) for p in range(4)])
+    m = whole(3)
+    assert (m.sum(axis=1) == parts).all() and (m.sum(axis=0) == cells).all()
+    assert abs(np.mean([whole(s)[2, 0] for s in range(400)]) - 17 / 3) < 0.3
+    rng = np.random.default_rng(4)
+    for good, bad, need in ((7, 5, 6), (300, 4000, 900), (1, 3, 2), (0, 9, 4), (9, 0, 4)):
+        got = np.array([shards.hypergeometric(rng, good, bad, need) for _ in range(4000)])
+        want = np.random.default_rng(5).hypergeometric(good, bad, need, 4000)
+        assert abs(got.mean() - want.mean()) < 0.6 and abs(got.std() - want.std()) < 0.5
+    # beyond numpy's range: the mean and spread of the law itself
+    good, bad, need = 3 * 10**9, 47 * 10**9, 10**6
+    got = np.array([shards.hypergeometric(rng, good, bad, need) for _ in range(500)])
+    assert abs(got.mean() - need * 0.06) < 40 and abs(got.std() - np.sqrt(need * 0.06 * 0.94)) < 25
 
 
 def test_url_lists(spark):
