@@ -248,10 +248,40 @@ def map_records(records: DataFrame, m: Mapping) -> DataFrame:
     )
 
 
-def landing_rows(records: DataFrame, received) -> dict[str, DataFrame]:
-    """The ten source tables: 21 common columns and the payload's text fields, by table name."""
+def not_applicable(records: DataFrame) -> DataFrame:
+    """Records of contracts that no mapping takes: decision 'skip' with its reason, and the columns closure needs."""
+    known = F.col("sourceContractId").isin(*map(contract_id, MAPPINGS))
+    own = records.where(~F.coalesce(known, F.lit(False)))
+    absent = F.lit(None).cast("string")
+    return own.select(
+        F.col("recordId").alias("record_id"), ident.unsigned(F.col("sourceRevision")).alias("revision"), ident.unsigned(F.col("sequence")).alias("sequence"),
+        F.lit("skip").alias("decision"), absent.alias("code"), absent.alias("field"), absent.alias("target_id"), absent.alias("target_hash"),
+        F.col("payloadHash").alias("source_hash"), F.lit("SOURCE_NOT_APPLICABLE").alias("reason"), F.col("tenantId").alias("tenant_id"),
+        F.col("projectId").alias("project_id"), F.col("episodeId").alias("episode_key"), F.lit("none").alias("projection_id"),
+        absent.alias("target_table"), absent.alias("payload_json"),
+    )
+
+
+def seal_rows(seals: DataFrame, received) -> DataFrame:
+    """Accepted episode seals as rows: scope, contract, counts as decimals, bare snapshot hash, payload text."""
+    number = lambda n: ident.unsigned(F.col(n))
+    return seals.select(
+        "application", F.col("tenantId").alias("tenant_id"), F.col("projectId").alias("project_id"), "environment", F.col("sealId").alias("seal_id"),
+        number("sealRevision").alias("seal_revision"), F.col("sourceContractId").alias("source_contract_id"),
+        F.coalesce("sourceContractVersion", F.lit("")).alias("source_contract_version"), F.col("episodeId").alias("episode_id"),
+        number("finalSequence").alias("final_sequence"), number("finalSourceRevision").alias("final_source_revision"),
+        number("sourceRecordCount").alias("source_record_count"), ident.bare_hash(F.col("sourceSnapshotHash")).alias("source_snapshot_sha256"),
+        F.col("sealStatus").alias("seal_status"), F.col("producerId").alias("producer_id"), F.col("producerVersion").alias("producer_version"),
+        F.col("payload").alias("payload_json"), ident.strict_utc(F.col("sealedAt")).alias("sealed_at"), F.lit(received).cast("timestamp").alias("ingested_at"),
+    )
+
+
+def landing_rows(records: DataFrame, received, present: set[str] | None = None) -> dict[str, DataFrame]:
+    """The ten source tables (or those of the contracts given): 21 common columns and the payload's text fields, by table name."""
     out = {}
     for m in MAPPINGS:
+        if present is not None and contract_id(m) not in present:
+            continue
         own = records.where(F.col("sourceContractId") == contract_id(m))
         blank = lambda n: F.coalesce(F.col(n), F.lit(""))
         common = [

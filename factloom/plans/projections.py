@@ -140,3 +140,28 @@ def coverage(record_types: DataFrame, column: str = "record_type") -> DataFrame:
 def by_table(projected: DataFrame, path: str) -> None:
     """Writes every target table as a folder of its own, sorted by the record within files."""
     projected.write.mode("append").partitionBy("target_table").parquet(path)
+
+
+# Tables of the older contracts, and runtime families kept as summaries.
+RUNTIME_TABLE, SUMMARY_TABLE, PROVIDER_TABLE = "sdar_core.runtime_fact", "sdar_core.runtime_capability_summary_fact", "sdar_core.smpp_provider_ops_fact"
+SUMMARIES = ("sdar.runtime.capability_summary", "sdar.runtime.public_capability_card")
+PROVIDER_SOURCE = "smpp-providerops-1.1.0"
+
+
+def older_routes(facts: DataFrame) -> DataFrame:
+    """Rows of older contracts with target_table and the column that names their kind there (kind_column, kind).
+
+    facts: source_type, record_family, evidence (true for facts of the evidence contract, which don't go here).
+    A provider's runtime fact goes to both tables; a fact of neither sort goes nowhere."""
+    runtime = F.col("record_family").startswith("sdar.runtime.")
+    summary = F.col("record_family").isin(*SUMMARIES)
+    route = lambda table, column: F.struct(F.lit(table).alias("target_table"), F.lit(column).alias("kind_column"))
+    routes = F.array_compact(
+        F.array(
+            F.when(runtime & summary, route(SUMMARY_TABLE, "summary_kind")),
+            F.when(runtime & ~summary, route(RUNTIME_TABLE, "fact_type")),
+            F.when(F.col("source_type") == PROVIDER_SOURCE, route(PROVIDER_TABLE, "record_type")),
+        )
+    )
+    own = facts.where("not evidence").withColumn("_route", F.explode(routes))
+    return own.select(*facts.columns, "_route.target_table", "_route.kind_column", F.col("record_family").alias("kind"))

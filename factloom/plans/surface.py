@@ -63,12 +63,17 @@ def run(spark: SparkSession, route: str, args: Mapping[str, object], most: int =
     if unknown or absent:
         raise ValueError(f"{route}: unknown {unknown}, missing {absent}")
     rows = tables[r.table] if tables else spark.table(r.table)
-    if r.versions:
-        rows = latest.latest(rows, list(r.versions[0]), [r.versions[1]])
+    keep = F.lit(True)
     for name, value in args.items():
-        rows = rows.where(F.col(name) == F.lit(value))
+        keep = keep & (F.col(name) == F.lit(value))
     if r.fixed:
-        rows = rows.where(r.fixed)
+        keep = keep & F.expr(r.fixed)
+    if r.versions:
+        # keys of versions that meet the filters reach the scan; their last versions are then filtered once more
+        keys = list(r.versions[0])
+        met = rows.where(keep).select(*keys).distinct()
+        rows = latest.latest(rows.join(met, keys, "left_semi"), keys, [r.versions[1]])
+    rows = rows.where(keep)
     rows = paging.capped(rows, most)
     if r.watermark in rows.columns:
         rows = latest.with_watermark(rows, r.watermark, "query_watermark")
@@ -82,11 +87,12 @@ def latest_per_resource(facts: DataFrame, fact_type: str, key: str) -> DataFrame
 
 
 def task_reconciliation(bindings: DataFrame, facts: DataFrame) -> DataFrame:
-    """Bindings beside the last fact of their task: status and revision mismatches of terminal tasks."""
-    last = facts.groupBy(F.col("external_task_id").alias("remote_task_id")).agg(
+    """Bindings beside the last fact of their task in their own scope: status and revision mismatches of terminal tasks."""
+    scope = [c for c in ("tenant_id", "project_id", "environment") if c in bindings.columns and c in facts.columns]
+    last = facts.groupBy(F.col("external_task_id").alias("remote_task_id"), *scope).agg(
         F.max(F.struct("occurred_at", "lifecycle_status", "provider_revision", "projected_at")).alias("f")
     )
-    both = bindings.join(last, "remote_task_id", "left")
+    both = bindings.join(last, ["remote_task_id", *scope], "left")
     return both.select(
         *bindings.columns, F.col("f.lifecycle_status").alias("fact_status"), F.col("f.provider_revision").alias("fact_revision"),
         F.coalesce(F.col("f.lifecycle_status") != F.col("status"), F.lit(False)).alias("status_mismatch"),

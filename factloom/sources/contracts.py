@@ -205,6 +205,14 @@ def domain_batches(raw: DataFrame, column: str = "value") -> DataFrame:
     return rows.withColumn("batch", F.when(F.col("code").isNull(), F.from_json(column, DOMAIN_BATCH)))
 
 
+def seals(raw: DataFrame, column: str = "value") -> DataFrame:
+    """raw, code and the parsed episode seal (null where refused)."""
+    code = code_column(F.col(column), seal_code, "DOMAIN_SOURCE_SCHEMA_INVALID")
+    schema = SEAL if "sourceContractVersion" in SEAL.names else T.StructType([*SEAL.fields, T.StructField("sourceContractVersion", T.StringType())])
+    rows = raw.withColumn("code", code)
+    return rows.withColumn("seal", F.when(F.col("code").isNull(), F.from_json(column, schema)))
+
+
 def evidence_facts(batches: DataFrame) -> DataFrame:
     """Accepted batches as one row per record, with the batch's header."""
     own = batches.where("code is null").select(

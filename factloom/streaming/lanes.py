@@ -64,28 +64,45 @@ def stored(spark: SparkSession, path: str, schema: T.StructType | str, before: i
     return spark.read.schema(full).parquet(path).where(F.col("batch_id") < before).select(*kept.names)
 
 
+def few(df: DataFrame, most: int = 200_000) -> bool:
+    """Whether a micro-batch's keys may be sent to every task."""
+    return df.limit(most + 1).count() <= most
+
+
 TARGETS = "target_id string, content_hash string"
 LINEAGE = "record_id string, revision decimal(20,0), tuple_hash string"
+_PARTITION = ["tenant_id", "project_id", "episode_key", "projection_id"]
+CHECKPOINTS = ", ".join(f"{k} string" for k in _PARTITION) + ", sequence decimal(20,0), token string"
+
+
+def contracts_of(records: DataFrame) -> set[str]:
+    """The known contracts that occur in a micro-batch, so that no plan is made for the others."""
+    known = [mappings.contract_id(m) for m in mappings.MAPPINGS]
+    return {r[0] for r in records.select("sourceContractId").where(F.col("sourceContractId").isin(*known)).distinct().collect()}
 
 
-def decided(records: DataFrame) -> DataFrame:
-    """Every mapped record as a row for terminal closure."""
-    parts = None
+def decided(records: DataFrame, present: set[str] | None = None) -> DataFrame:
+    """Every record as a row for terminal closure: mapped by its contract, or skipped where none applies."""
+    parts = mappings.not_applicable(records)
     for m in mappings.MAPPINGS:
+        if present is not None and mappings.contract_id(m) not in present:
+            continue
         rows = mappings.map_records(records, m).select(
             F.col("source_record_id").alias("record_id"), F.col("source_revision").alias("revision"), "sequence", "decision", "code", "field",
             F.when(F.col("decision") == "produce", F.col("record_id")).alias("target_id"), F.col("payload_sha256").alias("target_hash"),
             F.col("source_payload_hash").alias("source_hash"), F.coalesce("code", F.lit("")).alias("reason"),
             "tenant_id", "project_id", "episode_key", "projection_id", "target_table", "payload_json",
         )
-        parts = rows if parts is None else parts.unionByName(rows)
+        parts = parts.unionByName(rows)
     return parts
 
 
 def close_batch(records: DataFrame, root: str, batch_id: int) -> DataFrame:
-    """Targets, lineage, dead letters and checkpoints of one micro-batch, written in this order."""
+    """Targets, lineage, dead letters and checkpoints of one micro-batch, written in this order.
+
+    A checkpoint never goes back; one sequence with another content stops the batch before anything is written."""
     spark = records.sparkSession
-    rows = decided(records)
+    rows = decided(records, contracts_of(records))
     if rows.groupBy("record_id", "revision", "projection_id").agg(F.count_distinct("source_hash").alias("n")).where("n > 1").limit(1).count():
         raise ContentConflict("SOURCE_CONTENT_CONFLICT")
     rows = rows.dropDuplicates(["record_id", "revision", "projection_id"])
@@ -93,6 +110,11 @@ def close_batch(records: DataFrame, root: str, batch_id: int) -> DataFrame:
         rows, stored(spark, f"{root}/targets", TARGETS, batch_id), stored(spark, f"{root}/lineage", LINEAGE, batch_id)
     ).persist()
     try:
+        reached = stored(spark, f"{root}/checkpoints", CHECKPOINTS, batch_id)
+        reached = reached.groupBy(*_PARTITION).agg(F.max(F.struct("sequence", "token")).alias("x")).select(*_PARTITION, "x.sequence", "x.token")
+        ahead = terminal.advance(reached, terminal.checkpoints(closed, _PARTITION), _PARTITION)
+        if ahead.where("conflict").limit(1).count():
+            raise ContentConflict("CHECKPOINT_CONTENT_CONFLICT")
         done = F.col("outcome")
         written_once(
             closed.where(done == "produced").select("target_id", F.col("target_hash").alias("content_hash"), "target_table", "payload_json"),
@@ -106,8 +128,7 @@ def close_batch(records: DataFrame, root: str, batch_id: int) -> DataFrame:
             closed.where("dlq_code is not null").select("record_id", "revision", "dlq_code", "dlq_class", "dlq_contract_class", "field"),
             f"{root}/dead_letters", batch_id,
         )
-        keys = ["tenant_id", "project_id", "episode_key", "projection_id"]
-        written_once(terminal.checkpoints(closed, keys), f"{root}/checkpoints", batch_id)
+        written_once(ahead.drop("conflict"), f"{root}/checkpoints", batch_id)
         return closed.groupBy("outcome").agg(F.count("*").alias("n"))
     finally:
         closed.unpersist()
@@ -115,13 +136,16 @@ def close_batch(records: DataFrame, root: str, batch_id: int) -> DataFrame:
 
 def domain_lane(spark: SparkSession, source: str, root: str, checkpoint: str, files: int = 100,
                 each: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Files of domain-source batches to closed targets; refused batches go to `rejects` with their code."""
+    """Files of domain-source batches to landing tables and closed targets; refused batches go to `rejects` with their code."""
 
     def run(raw: DataFrame, batch_id: int) -> None:
         checked = contracts.domain_batches(raw.where("value is not null").dropDuplicates(["value"])).persist()
         try:
             written_once(checked.where("code is not null").select("value", "code"), f"{root}/rejects", batch_id)
-            close_batch(contracts.domain_records(checked), root, batch_id)
+            records = contracts.domain_records(checked)
+            for table, rows in mappings.landing_rows(records, F.current_timestamp(), contracts_of(records)).items():
+                written_once(rows, f"{root}/landing/{table}", batch_id)
+            close_batch(records, root, batch_id)
             if each:
                 each(checked, batch_id)
         finally:
@@ -132,7 +156,10 @@ def domain_lane(spark: SparkSession, source: str, root: str, checkpoint: str, fi
 
 
 def evidence_lane(spark: SparkSession, source: str, root: str, checkpoint: str, files: int = 100) -> StreamingQuery:
-    """Files of evidence batches to canonical rows by month; an exact repeat of a batch adds nothing."""
+    """Files of evidence batches to canonical rows by month; an exact repeat of a record adds nothing.
+
+    A record id with a second content is written to `conflicts`; what was accepted first stays (within a
+    micro-batch, the content recorded first)."""
     from ..plans import projections
 
     def run(raw: DataFrame, batch_id: int) -> None:
@@ -140,9 +167,14 @@ def evidence_lane(spark: SparkSession, source: str, root: str, checkpoint: str,
         try:
             written_once(checked.where("code is not null").select("value", "code"), f"{root}/rejects", batch_id)
             facts = contracts.evidence_facts(checked)
-            rows = projections.canonical_rows(facts, F.current_timestamp()).dropDuplicates(["record_id"])
-            seen = stored(spark, f"{root}/evidence_canonical", "record_id string", batch_id)
-            fresh = rows.join(seen, "record_id", "left_anti")
+            rows = projections.canonical_rows(facts, F.current_timestamp())
+            first = rows.groupBy("record_id").agg(F.min(F.struct("recorded_at", "payload_hash")).alias("x")).select("record_id", F.col("x.payload_hash").alias("_first"))
+            seen = stored(spark, f"{root}/evidence_canonical", "record_id string, payload_hash string", batch_id)
+            seen = seen.join(F.broadcast(first) if few(first) else first, "record_id", "left_semi").groupBy("record_id").agg(F.min("payload_hash").alias("_seen"))
+            met = rows.join(first, "record_id").join(seen, "record_id", "left").withColumn("_own", F.coalesce("_seen", "_first"))
+            other = met.where(~F.col("payload_hash").eqNullSafe(F.col("_own")))
+            written_once(other.select("record_id", "payload_hash", F.col("_own").alias("accepted_hash")).distinct(), f"{root}/conflicts", batch_id)
+            fresh = met.where(F.col("_seen").isNull() & F.col("payload_hash").eqNullSafe(F.col("_own"))).drop("_first", "_seen", "_own").dropDuplicates(["record_id"])
             written_once(fresh.sortWithinPartitions("record_type", "record_id", "row_id"), f"{root}/evidence_canonical", batch_id, ["ym"])
         finally:
             checked.unpersist()
@@ -151,6 +183,21 @@ def evidence_lane(spark: SparkSession, source: str, root: str, checkpoint: str,
     return raw.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def seal_lane(spark: SparkSession, source: str, root: str, checkpoint: str, files: int = 100) -> StreamingQuery:
+    """Files of episode seals to seal rows; refused seals go to `seal_rejects` with their code."""
+
+    def run(raw: DataFrame, batch_id: int) -> None:
+        checked = contracts.seals(raw.where("value is not null").dropDuplicates(["value"])).persist()
+        try:
+            written_once(checked.where("code is not null").select("value", "code"), f"{root}/seal_rejects", batch_id)
+            written_once(mappings.seal_rows(checked.where("code is null").select("seal.*"), F.current_timestamp()), f"{root}/seals", batch_id)
+        finally:
+            checked.unpersist()
+
+    raw = spark.readStream.option("maxFilesPerTrigger", files).text(source, wholetext=True)
+    return raw.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def torn_prefix(frames: DataFrame, partition: str, ordinal: str, body: str, checksum: str) -> DataFrame:
     """The valid prefix of each partition's log: frames before its first bad checksum or gap."""
     good = (F.sha2(body, 256) == F.col(checksum)).alias("good")

@@ -52,6 +52,10 @@ def test_bounds_are_inclusive():
 def test_secret_exemptions():
     assert not C.forbidden("secretStatus", "available")
     assert C.forbidden("secretStatus", "hunter2")
+    states = ["unknown", "available", "unavailable", "invalid"]
+    assert not C.forbidden("secretStatus", {"type": "string", "enum": states})
+    for other in ({"type": "string", "enum": states[:2]}, {"type": "string", "enum": states[::-1]}, {"enum": states}, {"type": "string", "enum": states, "x": 1}, states):
+        assert C.forbidden("secretStatus", other)
     assert not C.forbidden("apiCredentialRef", "x")
     assert C.secret_paths({"a": [{"password": 1}]}) == ["$.a[0].password"]
 

@@ -142,6 +142,27 @@ def test_evidence_lane_is_idempotent(spark, tmp_path):
     assert rows.count() == 2 and rows.select("ym").distinct().count() == 1
 
 
+def test_checkpoints_never_go_back(spark, tmp_path):
+    root = str(tmp_path / "out")
+    close = lambda n, *records: lanes.close_batch(K.domain_records(K.domain_batches(spark.createDataFrame([(json.dumps(batch(*records)),)], "value string"))), root, n)
+    late, early = record(5, "hmi-approval", APPROVAL), record(2, "hmi-approval", {**APPROVAL, "confirmationId": "other"})
+    close(0, late)
+    close(1, early)  # a lower sequence writes its target, not a checkpoint
+    rows = spark.read.parquet(f"{root}/checkpoints")
+    assert [int(r.sequence) for r in rows.collect()] == [5] and spark.read.parquet(f"{root}/targets").count() == 2
+    other = {**record(5, "hmi-approval", {**APPROVAL, "confirmationId": "third"}), "recordId": "someone-else"}
+    with pytest.raises(lanes.ContentConflict, match="CHECKPOINT"):
+        close(2, other)
+    assert spark.read.parquet(f"{root}/targets").count() == 2
+
+
+def test_contracts_without_a_mapping_are_skipped(spark):
+    own = rows(spark, {**record(1, "hmi-approval", APPROVAL), "sourceContractId": "sdar.domain-source/npc/unheard-of"})
+    got = M.not_applicable(own).first()
+    assert (got.decision, got.reason, got.target_id) == ("skip", "SOURCE_NOT_APPLICABLE", None)
+    assert M.not_applicable(rows(spark, record(1, "hmi-approval", APPROVAL))).count() == 0
+
+
 def test_lookback_deduplication_streams(spark, tmp_path):
     path = str(tmp_path / "in")
     spark.range(20).select((F.col("id") % 10).alias("id"), F.timestamp_seconds(1000 + F.col("id") % 10).alias("ts")).write.parquet(path)
