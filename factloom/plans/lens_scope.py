@@ -119,7 +119,7 @@ def log_partition_keys(spark, d):
   o_orderkey, o_custkey % 3, 'target'))) AS h FROM orders)
 SELECT o_orderkey, substr(h,1,8) || '-' || substr(h,9,4) || '-5' || substr(h,14,3) || '-' ||
   substr('89ab', 1 + (position(substr(h,17,1) IN '0123456789abcdef') - 1) % 4, 1) || substr(h,18,3) || '-' || substr(h,21,12) AS lineage_id FROM h""")
-def operational_ids(spark, d):
+def lineage_ids(spark, d):
     parts = [F.col("o_orderpriority"), F.col("o_custkey"), F.lit("DP-C01"), F.lit(1), F.col("o_orderkey"), F.col("o_custkey") % 3, F.lit("target")]
     return _t(spark, d, "orders").select("o_orderkey", scope.operational_id("lineage", parts).alias("lineage_id"))
 
