@@ -147,7 +147,7 @@ def spelled(digests: Column, base: Column) -> Column:
     """A base table as text: the number of digests, then each cell's count, digest XOR and check."""
     cell = F.transform(
         base,
-        lambda z: F.concat(F.lpad(F.hex(z.n), 4, "0"), F.lpad(F.hex(z.k), 16, "0"), F.substring(F.lpad(F.hex(z.c), 16, "0"), 9, 8)),
+        lambda z: F.concat(F.lpad(F.hex(z.n), 8, "0"), F.lpad(F.hex(z.k), 16, "0"), F.substring(F.lpad(F.hex(z.c), 16, "0"), 9, 8)),
     )
     return F.lower(F.concat(F.hex(F.size(digests)), F.lit("-"), F.array_join(cell, "")))
 
