@@ -1,20 +1,20 @@
 """Operator 3: document fingerprints as invertible Bloom lookup tables, in DataFrame functions only.
 
-A text's paragraphs (its lines, cut on after a number of characters) are hashed; their distinct digests
-go into a table of cells, each holding a count, the XOR of its digests and the XOR of their checks.
-The tables of two versions subtract cell by cell, what they share cancels, and peeling cells of a
-single digest recovers the digests that differ. A difference too large for the base table is tried
-again with more cells: digests are dealt into groups of about GROUP, each group with a table of its
-own, and a group that does not peel gets a larger one still.
-
-Likeness of two texts is shared over all distinct digests, (a + b - d) / (a + b + d) for a and b digests
-with d of them unshared. LEVELS holds how fine paragraphs are cut for texts below a length; two texts are
-compared at the level of the longer one. The fingerprint is the base tables of the text, as text, at
-its own level and all coarser ones.
+A text's paragraphs (its lines, cut on after every CUT characters) are hashed to 48 bits. Their distinct
+digests, dealt into groups of about LOAD by value, fill one table a group: cells that hold a count, the XOR
+of the digests and the XOR of their checks. Tables of two texts subtract cell by cell, what both hold cancels,
+and peeling cells of a single digest recovers the digests that differ. A table that peeling doesn't empty
+is made again with other places and twice the cells, for both texts, until it does.
+
+A fingerprint holds for each group of its text the first table that peels to the group's own digests. So a
+fingerprint gives all digests back, and tables of any size can be made from it; `near_*` depends on the two
+fingerprints alone. It is (a + b - d) / (a + b + d) for a and b digests, d of them recovered as differing.
+
+Work grows with the length of a text: digests are sorted once and cut into groups as runs.
 
 Defined cases: a null text counts as empty; two texts without paragraphs are alike (1.0), one without
-and one with are not (0.0); ties in doc_id are ordered by text; null ids come last; a sole document
-is its own next one; an empty table gives an empty table; other columns are not used.
+and one with are not (0.0); rows of one doc_id are ordered by the hash of their text; null ids come last;
+a sole document is its own next one; an empty table gives an empty table; other columns are not used.
 """
 
 from __future__ import annotations
@@ -22,14 +22,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: (texts below so many characters, characters after which a line is cut), finest first.
-LEVELS = ((600, 32), (3000, 100), (None, 400))
-GROUP = 6
-#: Cells of each of a table's three parts: base table, groups' tables, and larger ones.
-BASE, WIDER = 4, (10, 40)
-ROUNDS = 7
+#: Characters after which a line is cut.
+CUT = 64
+#: Digests of a group's table on average, and cells of each of a first table's three parts.
+LOAD, CELLS = 16, 10
+#: Tables tried for a group, each with twice the cells of the one before, and rounds of peeling.
+TRIES, ROUNDS = 12, 24
 #: Documents of a stretch of ids, and most stretches.
 STRETCH, STRETCHES = 2048, 1 << 16
+#: Seed of a digest's check; tables use the number of their try.
+CHECK = -1
 
 
 def _let(value: Column, use) -> Column:
@@ -37,146 +39,209 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def paragraphs(text: Column, size: int) -> Column:
-    """Distinct digests of lines, cut on after every `size` characters."""
-    found = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{size}}}"), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
+def paragraphs(text: Column) -> Column:
+    """Distinct 48-bit digests of lines, cut on after every CUT characters."""
+    found = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{CUT}}}"), F.lit(0))
+    return F.array_distinct(F.transform(found, lambda s: F.shiftrightunsigned(F.xxhash64(s), 16)))
 
 
 def _cell(n: Column, k: Column, c: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), k.alias("k"), c.alias("c"))
 
 
-def _places(k: Column, cells: int) -> list[Column]:
-    """A digest's cells: one in each of the three parts of the table."""
-    return [(F.pmod(F.shiftright(k, 21 * p), F.lit(cells)).cast("int") + p * cells).alias(f"p{p}") for p in range(3)]
+def _check(k: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(k, F.lit(CHECK)), 48)
+
+
+def _places(k: Column, cells: Column, attempt: Column) -> Column:
+    """A digest with its check and its cells: one in each of the three parts of the table."""
+
+    def spread(h: Column) -> Column:
+        at = [(F.pmod(F.shiftright(h, 21 * p), cells) + p * cells).cast("int").alias(f"p{p}") for p in range(3)]
+        return F.struct(k.alias("k"), _check(k).alias("c"), *at)
+
+    return _let(F.xxhash64(k, attempt), spread)
 
 
 def _at(x: Column, j: Column) -> Column:
     return (x.p0 == j) | (x.p1 == j) | (x.p2 == j)
 
 
-def table(digests: Column, cells: int) -> Column:
-    """The cells of a digest array."""
+def table(digests: Column, cells: Column, attempt: Column) -> Column:
+    """The cells of a digest array, 3 * cells of them."""
     zero = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
-    placed = F.transform(digests, lambda x: F.struct(x.alias("k"), F.xxhash64(x).alias("c"), *_places(x, cells)))
 
     def filled(own: Column) -> Column:
         return F.transform(
-            F.sequence(F.lit(0), F.lit(3 * cells - 1)),
+            F.sequence(F.lit(0), 3 * cells - 1),
             lambda j: F.aggregate(
                 F.filter(own, lambda x: _at(x, j)), zero,
                 lambda s, x: _cell(s.n + 1, s.k.bitwiseXOR(x.k), s.c.bitwiseXOR(x.c)),
             ),
         )
 
-    return _let(placed, filled)
+    return _let(F.transform(digests, lambda k: _places(k, cells, attempt)), filled)
 
 
 def subtract(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda p, q: _cell(p.n - q.n, p.k.bitwiseXOR(q.k), p.c.bitwiseXOR(q.c)))
 
 
-def peel(cells_: Column, cells: int, rounds: int = ROUNDS) -> Column:
-    """How many digests peeling recovers, or null where it does not empty the difference table."""
+def peel(difference: Column, cells: Column, attempt: Column) -> Column:
+    """The digests in one of the subtracted tables only, or null where peeling doesn't empty the difference."""
 
     def step(s: Column, _: Column) -> Column:
-        single = F.array_distinct(
-            F.transform(
-                F.filter(s.t, lambda z: (F.abs(z.n) == 1) & (z.c == F.xxhash64(z.k))),
-                lambda z: F.struct(z.n.alias("n"), z.k.alias("k"), z.c.alias("c"), *_places(z.k, cells)),
-            )
+        single = F.transform(
+            F.filter(s.t, lambda z: (F.abs(z.n) == 1) & (z.c == _check(z.k))),
+            lambda z: F.struct(z.n.alias("n"), _places(z.k, cells, attempt).alias("x")),
         )
 
         def take(found: Column) -> Column:
             def without(z: Column, j: Column) -> Column:
                 return F.aggregate(
-                    F.filter(found, lambda u: _at(u, j)), z,
-                    lambda w, u: _cell(w.n - u.n, w.k.bitwiseXOR(u.k), w.c.bitwiseXOR(u.c)),
+                    F.filter(found, lambda u: _at(u.x, j)), z,
+                    lambda w, u: _cell(w.n - u.n, w.k.bitwiseXOR(u.x.k), w.c.bitwiseXOR(u.x.c)),
                 )
 
-            more = F.struct(F.transform(s.t, without).alias("t"), (s.got + F.size(found)).alias("got"), (F.size(found) == 0).alias("end"))
-            return F.when(F.size(found) == 0, F.struct(s.t.alias("t"), s.got.alias("got"), F.lit(True).alias("end"))).otherwise(more)
+            got = F.concat(s.got, F.transform(found, lambda u: u.x.k))
+            return F.struct(F.transform(s.t, without).alias("t"), got.alias("got"), (F.size(found) == 0).alias("end"))
 
-        return F.when(s.end, s).otherwise(_let(single, take))
+        return F.when(s.end, s).otherwise(_let(F.array_distinct(single), take))
 
-    start = F.struct(cells_.alias("t"), F.lit(0).alias("got"), F.lit(False).alias("end"))
+    start = F.struct(difference.alias("t"), F.array().cast("array<bigint>").alias("got"), F.lit(False).alias("end"))
     return F.aggregate(
-        F.sequence(F.lit(1), F.lit(rounds)), start, step,
+        F.sequence(F.lit(1), F.lit(ROUNDS)), start, step,
         lambda s: F.when(~F.exists(s.t, lambda z: (z.n != 0) | (z.k != 0) | (z.c != 0)), s.got),
     )
 
 
-def unshared(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
-    """How many digests are in one array only, by peeling tables that grow until they yield."""
+def settled(a: Column, b: Column) -> Column:
+    """t, the first difference table of two digest arrays that peels, and got, the digests it yields."""
+
+    def again(s: Column, attempt: Column) -> Column:
+        def tried(cells: Column) -> Column:
+            difference = subtract(table(a, cells, attempt), table(b, cells, attempt))
+            return _let(difference, lambda t: F.struct(t.alias("t"), peel(t, cells, attempt).alias("got")))
 
-    def tried(x: Column, y: Column, cells: int) -> Column:
-        return peel(subtract(table(x, cells), table(y, cells)), cells)
+        cells = F.call_function("shiftleft", F.lit(CELLS), attempt)
+        return F.when(s.got.isNotNull(), s).otherwise(_let(cells, tried))
 
-    def grouped() -> Column:
-        groups = F.ceil(F.greatest(F.size(a), F.size(b), F.lit(1)) / GROUP).cast("int")
+    start = F.struct(
+        F.lit(None).cast("array<struct<n:int,k:bigint,c:bigint>>").alias("t"), F.lit(None).cast("array<bigint>").alias("got")
+    )
+    # each try has fresh places, and one of a few digests fails once in cells ** 3: TRIES in a row don't; if they did, the query stops
+    never = F.raise_error(F.lit("a fingerprint table can't be peeled"))
+    return F.aggregate(
+        F.sequence(F.lit(0), F.lit(TRIES - 1)), start, again, lambda s: F.when(s.got.isNotNull(), s).otherwise(never)
+    )
 
-        def one(g: Column) -> Column:
-            def mine(v: Column) -> Column:
-                return F.filter(v, lambda x: F.pmod(F.shiftright(x, 46), groups).cast("int") == g)
 
-            def count(pair: Column) -> Column:
-                # coalesce() builds the next table only where this one did not peel
-                return F.coalesce(
-                    *(tried(pair.a, pair.b, c) for c in WIDER),
-                    F.size(F.array_except(pair.a, pair.b)) + F.size(F.array_except(pair.b, pair.a)),
-                )
+def groups(a: Column, b: Column) -> Column:
+    """The digests of both texts in groups of about LOAD: runs of the sorted digests, in time that grows with their number."""
+    count = F.ceil((F.size(a) + F.size(b)) / LOAD).cast("long")
 
-            return _let(F.struct(mine(a).alias("a"), mine(b).alias("b")), count)
+    def signed(v: Column, sign: int) -> Column:
+        return F.transform(v, lambda k: F.struct(k.alias("k"), F.lit(sign).alias("n")))
 
-        return F.aggregate(
-            F.transform(F.sequence(F.lit(0), groups - 1), one), F.lit(0), lambda s, x: s + x
-        )
+    def run(all_: Column) -> Column:
+        def group(i: Column) -> Column:
+            return F.shiftright(F.shiftright(F.get(all_, i).k, 16) * count, 32)
+
+        last = F.size(all_)
+        ends = F.filter(F.sequence(F.lit(1), last), lambda i: (i == last) | (group(i) != group(i - 1)))
+
+        def cut(to: Column) -> Column:
+            def of(i: Column) -> Column:
+                begin = F.when(i == 0, F.lit(0)).otherwise(F.get(to, i - 1))
+                own = F.slice(all_, begin + 1, F.get(to, i) - begin)
+                return _let(own, lambda z: F.struct(*(_side(z, s).alias(n) for n, s in (("a", 1), ("b", -1)))))
+
+            return F.transform(F.sequence(F.lit(0), F.size(to) - 1), of)
+
+        return _let(ends, cut)
 
-    return F.coalesce(peel(subtract(base_a, base_b), BASE), grouped())
+    none = F.array().cast("array<struct<a:array<bigint>,b:array<bigint>>>")
+    return F.when(F.size(a) + F.size(b) == 0, none).otherwise(_let(F.array_sort(F.concat(signed(a, 1), signed(b, -1))), run))
 
 
-def likeness(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
+def _side(own: Column, sign: int) -> Column:
+    return F.transform(F.filter(own, lambda x: x.n == sign), lambda x: x.k)
+
+
+def differing(a: Column, b: Column) -> Column:
+    """The digests that one of two digest arrays alone holds, by subtracting and peeling their tables."""
+    return F.flatten(F.transform(groups(a, b), lambda g: settled(g.a, g.b).got))
+
+
+def likeness(a: Column, b: Column) -> Column:
     both = F.size(a) + F.size(b)
-    return F.when(both == 0, F.lit(1.0)).otherwise(
-        _let(unshared(a, b, base_a, base_b), lambda d: (both - d) / (both + d)).cast("double")
-    )
+    near = _let(F.size(differing(a, b)), lambda d: (both - d) / (both + d))
+    return F.when(both == 0, F.lit(1.0)).otherwise(near).cast("double")
 
 
-def spelled(digests: Column, base: Column) -> Column:
-    """A base table as text: the number of digests, then each cell's count, digest XOR and check."""
-    cell = F.transform(
-        base,
-        lambda z: F.concat(F.lpad(F.hex(z.n), 8, "0"), F.lpad(F.hex(z.k), 16, "0"), F.substring(F.lpad(F.hex(z.c), 16, "0"), 9, 8)),
-    )
-    return F.lower(F.concat(F.hex(F.size(digests)), F.lit("-"), F.array_join(cell, "")))
+def printed(digests: Column) -> Column:
+    """A fingerprint as text: the number of digests, `-`, then each group's table in base64, joined by `.`.
+
+    A cell has nine bytes: its count modulo 256, six bytes of digests, two of checks."""
+
+    def cell(z: Column) -> Column:
+        digits = ((F.pmod(z.n, F.lit(256)), 2), (z.k, 12), (z.c, 4))
+        return F.concat(*(F.lpad(F.hex(v), w, "0") for v, w in digits))
+
+    def spelled(g: Column) -> Column:
+        cells = F.transform(settled(g.a, g.b).t, cell)
+        return F.regexp_replace(F.base64(F.unhex(F.array_join(cells, ""))), r"\s", "")
+
+    none = F.array().cast("array<bigint>")
+    return F.concat(F.size(digests).cast("string"), F.lit("-"), F.array_join(F.transform(groups(digests, none), spelled), "."))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text and next_text, the text that follows in descending doc_id, the first after the last.
 
-    Ids are cut into stretches, so no window spans the table; each stretch's last row gets the text of
-    the highest id below it, found by a join of at most STRETCHES + 1 ids."""
+    Ids are cut into stretches of about STRETCH rows by quantiles, so no window spans the table, however ids
+    are spread; rows without an id are cut by the hash of their text. Each stretch's last row gets the text
+    of the first row of the next stretch, found by a join of at most STRETCHES + 257 stretches."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    low, high, n = own.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    width = 1
-    if low is not None:
-        span = high - low + 1
-        width = max(1, -(-span // STRETCHES), int(STRETCH * span / max(1, n)))
-    stretch = F.coalesce(F.floor((F.col("doc_id") - F.lit(low or 0)) / width).cast("long"), F.lit(-1).cast("long"))
-    placed = own.withColumn("stretch", stretch)
-    heads = placed.groupBy("stretch").agg(F.max("doc_id").alias("head"))
+    n = own.select("doc_id").count()
+    parts = max(1, min(STRETCHES, -(-n // STRETCH)))
+    bounds = None
+    if parts > 1:
+        shares = [i / parts for i in range(1, parts)]
+        bounds = own.agg(F.percentile_approx("doc_id", shares, max(10_000, 4 * parts))).first()[0]
+    bounds = sorted(set(bounds or []))
+    stretch = F.lit(0)
+    if bounds:
+        known = F.lit(bounds)
+        # binary search: how many bounds lie below the id
+        span = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+
+        def halve(s: Column, _: Column) -> Column:
+            middle = F.shiftright(s.lo + s.hi, 1)
+            below = F.get(known, middle) < F.col("doc_id")
+            return F.when(s.lo >= s.hi, s).otherwise(
+                F.struct(F.when(below, middle + 1).otherwise(s.lo).alias("lo"), F.when(below, s.hi).otherwise(middle).alias("hi"))
+            )
+
+        steps = F.sequence(F.lit(0), F.lit(len(bounds).bit_length()))
+        stretch = F.aggregate(steps, span, halve, lambda s: s.lo)
+    tie = F.xxhash64("text")
+    no_id = (-F.lit(129) - F.shiftright(tie, 56)).cast("int")
+    placed = own.select("*", tie.alias("tie"), F.when(F.col("doc_id").isNull(), no_id).otherwise(stretch).alias("stretch"))
+    inner = Window.partitionBy("stretch").orderBy(F.col("doc_id").desc_nulls_last(), "tie", "text")
+    # the head of a stretch: its highest id (the hash alone where ids are null), then the first hash, then text
+    rank = F.struct(F.coalesce(-F.col("doc_id"), F.lit(0)).alias("id"), "tie")
+    heads = placed.groupBy("stretch").agg(F.min(rank).alias("head"))
     order = Window.orderBy(F.desc("stretch"))
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = heads.select(  # at most STRETCHES + 1 rows
+    after = heads.select(
         F.col("stretch").alias("before"),
         F.coalesce(F.lead("stretch").over(order), F.first("stretch").over(whole)).alias("stretch"),
     ).join(heads, "stretch")
     first = (
-        placed.join(F.broadcast(after), "stretch").where(F.col("doc_id").eqNullSafe(F.col("head")))
+        placed.join(F.broadcast(after), "stretch").where(rank == F.col("head"))
         .groupBy(F.col("before").alias("stretch")).agg(F.min("text").alias("head_text"))
     )
-    inner = Window.partitionBy("stretch").orderBy(F.col("doc_id").desc_nulls_last(), "text")
     return (
         placed.withColumn("lead_text", F.lead("text").over(inner))
         .join(first, "stretch", "left")
@@ -188,46 +253,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited (the edited text), fingerprint, edited_fingerprint, near_edited, near_next."""
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
-    rows = with_next(docs).withColumn("n_chars", n.cast("long")).withColumn(
-        "edited", F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third))
-    )
-    sides = {"text": "own", "edited": "new", "next_text": "next"}
-    for text, name in sides.items():
-        found = []
-        for below, size in LEVELS:
-            fits = F.lit(True) if below is None else F.char_length(text) < below
-            found.append(F.when(fits, paragraphs(F.col(text), size)))
-        rows = rows.withColumn(name, F.array(*found))
-    # one expression makes all tables, one all comparisons: the plan stays small
-    rows = rows.withColumn(
-        "tables",
-        F.transform(
-            F.array(*sides.values()),
-            lambda side: F.transform(side, lambda d: F.when(d.isNotNull(), F.struct(d.alias("d"), table(d, BASE).alias("t")))),
-        ),
-    )
-    own, new, following = (F.get("tables", F.lit(i)) for i in range(3))
-
-    def pair(other: Column, text: str) -> Column:
-        longer = F.greatest(F.char_length("text"), F.char_length(text))
-        level = F.lit(len(LEVELS) - 1)
-        for i in reversed(range(len(LEVELS) - 1)):
-            level = F.when(longer < LEVELS[i][0], F.lit(i)).otherwise(level)
-        return F.struct(F.get(own, level).alias("x"), F.get(other, level).alias("y"))
-
-    rows = rows.withColumn(
-        "near",
-        F.transform(
-            F.array(pair(new, "edited"), pair(following, "next_text")),
-            lambda p: likeness(p.x.d, p.y.d, p.x.t, p.y.t),
-        ),
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third))
+    rows = with_next(docs).withColumn("n_chars", n.cast("long")).withColumn("edited", edited)
+    # arrays make one expression of all fingerprints and one of all comparisons: the plan stays small
+    sides = F.transform(F.array("text", "edited", "next_text"), paragraphs)
+    rows = rows.withColumn("digests", sides)
+    own, new, following = (F.get("digests", F.lit(i)) for i in range(3))
+    pairs = F.array(*(F.struct(own.alias("x"), other.alias("y")) for other in (new, following)))
+    rows = rows.withColumn("shown", F.transform(F.array(own, new), printed)).withColumn(
+        "near", F.transform(pairs, lambda p: likeness(p.x, p.y))
     )
-
-    def printed(side: Column) -> Column:
-        return F.array_join(F.transform(F.filter(side, lambda z: z.isNotNull()), lambda z: spelled(z.d, z.t)), "/")
-
     return rows.select(
         "doc_id", "n_chars", "edited",
-        printed(own).alias("fingerprint"), printed(new).alias("edited_fingerprint"),
+        F.get("shown", F.lit(0)).alias("fingerprint"), F.get("shown", F.lit(1)).alias("edited_fingerprint"),
         F.get("near", F.lit(0)).alias("near_edited"), F.get("near", F.lit(1)).alias("near_next"),
     )

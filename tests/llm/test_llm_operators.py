@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import time
 import zlib
 from itertools import combinations
 
@@ -10,6 +11,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -189,14 +191,46 @@ def test_one_id_with_several_texts(spark):
     assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(0, c + " end")] * 2 + [(1, a), (1, b), (4, c), (9, "a b")])
 
 
+def listed(fingerprint):
+    """The digests of a printed fingerprint, as the hashes of cells that hold one digest, peeled until all are empty."""
+    count, _, rest = fingerprint.partition("-")
+    found = []
+    for part in filter(None, rest.split(".")):
+        raw = base64.b64decode(part)
+        cells = [[raw[i], int.from_bytes(raw[i + 1 : i + 7]), int.from_bytes(raw[i + 7 : i + 9])] for i in range(0, len(raw), 9)]
+        third = len(cells) // 3
+        attempt = (third // fingerprints.CELLS).bit_length() - 1
+        assert third == fingerprints.CELLS << attempt
+        while True:
+            alone = next((k for n, k, c in cells if n == 1 and spark_hash(k, fingerprints.CHECK) >> 48 == c), None)
+            if alone is None:
+                break
+            found.append(alone)
+            h, check = spark_hash(alone, attempt), spark_hash(alone, fingerprints.CHECK) >> 48
+            h -= (h >> 63) << 64
+            for p in range(3):
+                cell = cells[(h >> 21 * p) % third + p * third]
+                cell[0], cell[1], cell[2] = cell[0] - 1, cell[1] ^ alone, cell[2] ^ check
+        assert not any(map(any, cells))
+    assert len(found) == len(set(found)) == int(count)
+    return set(found)
+
+
+def spark_hash(k, seed):
+    """xxhash64 of a long and an int, as Spark chains them: each value's hash seeds the next."""
+    first = xxhash.xxh64_intdigest(k.to_bytes(8, "little"), 42)
+    return xxhash.xxh64_intdigest((seed & 0xFFFFFFFF).to_bytes(4, "little"), first)
+
+
 def test_fingerprints_match_brute_force(spark, docs, texts):
     plain = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     got = {r.doc_id: r for r in fingerprints.fingerprints(plain).collect()}
 
-    def near(a, b):
-        m = max(len(a), len(b))
-        size = next(s for below, s in fingerprints.LEVELS if below is None or m < below)
-        x, y = (set(re.findall(rf"[^\n]{{1,{size}}}", t)) for t in (a, b))
+    def lines(t):
+        cut = set(re.findall(rf"[^\n]{{1,{fingerprints.CUT}}}", t))
+        return {xxhash.xxh64_intdigest(x.encode(), 42) >> 16 for x in cut}
+
+    def near(x, y):
         return len(x & y) / len(x | y) if x | y else 1.0
 
     n = len(texts)
@@ -205,11 +239,49 @@ def test_fingerprints_match_brute_force(spark, docs, texts):
         third = len(t) // 3
         edited = t[: len(t) - third] + after[:third]
         assert got[i].edited == edited and got[i].n_chars == len(t)
-        assert abs(got[i].near_edited - near(t, edited)) < 1e-12 and abs(got[i].near_next - near(t, after)) < 1e-12
+        own, new, following = listed(got[i].fingerprint), listed(got[i].edited_fingerprint), listed(got[(i - 1) % n].fingerprint)
+        assert own == lines(t) and new == lines(edited) and following == lines(after)
+        assert abs(got[i].near_edited - near(own, new)) < 1e-12 and abs(got[i].near_next - near(own, following)) < 1e-12
     assert got[7].fingerprint == got[8].fingerprint != got[10].fingerprint
     assert fingerprints.fingerprints(plain.limit(0)).count() == 0
 
 
+def test_fingerprints_peel_to_the_digests_that_differ(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for shared, a, b in [(0, 0, 0), (0, 1, 0), (3, 0, 0), (500, 1, 2), (40, 40, 40), (0, 300, 4), (0, 2000, 2000)]:
+        k = [int(v) for v in np.unique(rng.integers(0, 1 << 48, 2 * (shared + a + b)))][: shared + a + b]
+        k = [int(v) for v in rng.permutation(k)]
+        rows.append((k[: shared + a], k[:shared] + k[shared + a :]))
+    df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
+    for r in df.select("a", "b", fingerprints.differing(F.col("a"), F.col("b")).alias("d")).collect():
+        assert sorted(r.d) == sorted(set(r.a) ^ set(r.b))
+
+
+def test_fingerprints_of_long_texts_take_time_in_proportion(spark):
+    texts = ["\n".join(f"{j} line {i} of many" for i in range(40_000)) for j in range(2)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    began = time.time()
+    got = {r.doc_id: r for r in fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(listed(got[0].fingerprint)) == 40_000 and got[0].near_next == 0.0
+    assert time.time() - began < 90
+
+
+def test_fingerprints_next_document_of_any_ids(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "STRETCH", 3)
+    ids = [*range(0, 40, 3), 10**15, -(10**12), None, None, 7, 7]
+    rows = [(i, f"t{j}") for j, i in enumerate(ids)]
+    pairs = {(r.text, r.next_text) for r in fingerprints.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    follow = dict(pairs)
+    at, seen = "t14", []
+    for _ in rows:
+        seen.append(at)
+        at = follow[at]
+    order = [ids[int(t[1:])] for t in seen]
+    assert at == "t14" and len(set(seen)) == len(rows) == len(pairs)
+    assert order == sorted((i for i in ids if i is not None), reverse=True) + [None, None]
+
+
 def test_language_ranks(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the hat then", "aa"), ("ñandú ñoño años", "bb")] * 40)]
     rows += [(100, None, None), (101, "123 !", "aa"), (102, "then the hat", None), (103, "ñoños", " ")]
