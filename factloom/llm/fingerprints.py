@@ -1,8 +1,8 @@
 """Operator 3: document fingerprints as invertible Bloom lookup tables, in DataFrame functions only.
 
 A text's paragraphs (its lines, cut on after every CUT characters) are hashed to 48 bits. Their distinct
-digests, dealt into groups of about LOAD by value, fill one table a group: cells that hold a count, the XOR
-of the digests and the XOR of their checks. Tables of two texts subtract cell by cell, what both hold cancels,
+digests, dealt into groups of about LOAD by value, fill one table a group: cells that hold a count and the XOR of
+the digests with their 16-bit checks. Tables of two texts subtract cell by cell, what both hold cancels,
 and peeling cells of a single digest recovers the digests that differ. A table that peeling doesn't empty
 is made again with other places and twice the cells, for both texts, until it does.
 
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Characters after which a line is cut.
-CUT = 64
+CUT = 128
 #: Digests of a group's table on average, and cells of each of a first table's three parts.
 LOAD, CELLS = 16, 10
 #: Tables tried for a group, each with twice the cells of the one before, and rounds of peeling.
@@ -45,8 +45,8 @@ def paragraphs(text: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda s: F.shiftrightunsigned(F.xxhash64(s), 16)))
 
 
-def _cell(n: Column, k: Column, c: Column) -> Column:
-    return F.struct(n.cast("int").alias("n"), k.alias("k"), c.alias("c"))
+def _cell(n: Column, v: Column) -> Column:
+    return F.struct(n.cast("int").alias("n"), v.alias("v"))
 
 
 def _check(k: Column) -> Column:
@@ -54,64 +54,73 @@ def _check(k: Column) -> Column:
 
 
 def _places(k: Column, cells: Column, attempt: Column) -> Column:
-    """A digest with its check and its cells: one in each of the three parts of the table."""
+    """A digest and its check as one number, and its cell within each of the three parts of the table."""
 
     def spread(h: Column) -> Column:
-        at = [(F.pmod(F.shiftright(h, 21 * p), cells) + p * cells).cast("int").alias(f"p{p}") for p in range(3)]
-        return F.struct(k.alias("k"), _check(k).alias("c"), *at)
+        at = [F.pmod(F.shiftright(h, 21 * p), cells).cast("int").alias(f"p{p}") for p in range(3)]
+        return F.struct(F.shiftleft(k, 16).bitwiseOR(_check(k)).alias("v"), *at)
 
     return _let(F.xxhash64(k, attempt), spread)
 
 
-def _at(x: Column, j: Column) -> Column:
-    return (x.p0 == j) | (x.p1 == j) | (x.p2 == j)
-
-
 def table(digests: Column, cells: Column, attempt: Column) -> Column:
     """The cells of a digest array, 3 * cells of them."""
-    zero = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+    zero = _cell(F.lit(0), F.lit(0).cast("long"))
 
     def filled(own: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), 3 * cells - 1),
-            lambda j: F.aggregate(
-                F.filter(own, lambda x: _at(x, j)), zero,
-                lambda s, x: _cell(s.n + 1, s.k.bitwiseXOR(x.k), s.c.bitwiseXOR(x.c)),
-            ),
-        )
+        def part(p: int) -> Column:
+            def cell(j: Column) -> Column:
+                return F.aggregate(
+                    own, zero, lambda s, x: F.when(x[f"p{p}"] == j, _cell(s.n + 1, s.v.bitwiseXOR(x.v))).otherwise(s)
+                )
+
+            return F.transform(F.sequence(F.lit(0), cells - 1), cell)
+
+        return F.concat(*map(part, range(3)))
 
     return _let(F.transform(digests, lambda k: _places(k, cells, attempt)), filled)
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda p, q: _cell(p.n - q.n, p.k.bitwiseXOR(q.k), p.c.bitwiseXOR(q.c)))
+    return F.zip_with(a, b, lambda p, q: _cell(p.n - q.n, p.v.bitwiseXOR(q.v)))
 
 
 def peel(difference: Column, cells: Column, attempt: Column) -> Column:
     """The digests in one of the subtracted tables only, or null where peeling doesn't empty the difference."""
 
     def step(s: Column, _: Column) -> Column:
-        single = F.transform(
-            F.filter(s.t, lambda z: (F.abs(z.n) == 1) & (z.c == _check(z.k))),
-            lambda z: F.struct(z.n.alias("n"), _places(z.k, cells, attempt).alias("x")),
+        # digest and sign as one number: distinct numbers are cheap, distinct structs are not
+        single = F.array_distinct(
+            F.transform(
+                F.filter(s.t, lambda z: (F.abs(z.n) == 1) & (z.v.bitwiseAND(0xFFFF) == _check(F.shiftrightunsigned(z.v, 16)))),
+                lambda z: F.shiftrightunsigned(z.v, 16) * 2 + F.when(z.n < 0, 1).otherwise(0),
+            )
+        )
+        placed = F.transform(
+            single,
+            lambda v: F.struct((F.lit(1) - 2 * v.bitwiseAND(1)).cast("int").alias("n"), _places(F.shiftright(v, 1), cells, attempt).alias("x")),
         )
 
         def take(found: Column) -> Column:
-            def without(z: Column, j: Column) -> Column:
-                return F.aggregate(
-                    F.filter(found, lambda u: _at(u.x, j)), z,
-                    lambda w, u: _cell(w.n - u.n, w.k.bitwiseXOR(u.x.k), w.c.bitwiseXOR(u.x.c)),
-                )
+            def part(p: int) -> Column:
+                def without(z: Column, j: Column) -> Column:
+                    return F.aggregate(
+                        found, z, lambda w, u: F.when(u.x[f"p{p}"] == j, _cell(w.n - u.n, w.v.bitwiseXOR(u.x.v))).otherwise(w)
+                    )
+
+                return F.transform(F.slice(s.t, cells * p + 1, cells), without)
 
-            got = F.concat(s.got, F.transform(found, lambda u: u.x.k))
-            return F.struct(F.transform(s.t, without).alias("t"), got.alias("got"), (F.size(found) == 0).alias("end"))
+            got = F.concat(s.got, F.transform(found, lambda u: F.shiftrightunsigned(u.x.v, 16)))
+            left = F.struct(F.concat(*map(part, range(3))).alias("t"), got.alias("got"), F.lit(False).alias("end"))
+            ended = F.struct(s.t.alias("t"), s.got.alias("got"), F.lit(True).alias("end"))
+            return F.when(F.size(found) == 0, ended).otherwise(left)
 
-        return F.when(s.end, s).otherwise(_let(F.array_distinct(single), take))
+        return F.when(s.end, s).otherwise(_let(placed, take))
 
     start = F.struct(difference.alias("t"), F.array().cast("array<bigint>").alias("got"), F.lit(False).alias("end"))
     return F.aggregate(
         F.sequence(F.lit(1), F.lit(ROUNDS)), start, step,
-        lambda s: F.when(~F.exists(s.t, lambda z: (z.n != 0) | (z.k != 0) | (z.c != 0)), s.got),
+        lambda s: F.when(~F.exists(s.t, lambda z: (z.n != 0) | (z.v != 0)), s.got),
     )
 
 
@@ -127,7 +136,7 @@ def settled(a: Column, b: Column) -> Column:
         return F.when(s.got.isNotNull(), s).otherwise(_let(cells, tried))
 
     start = F.struct(
-        F.lit(None).cast("array<struct<n:int,k:bigint,c:bigint>>").alias("t"), F.lit(None).cast("array<bigint>").alias("got")
+        F.lit(None).cast("array<struct<n:int,v:bigint>>").alias("t"), F.lit(None).cast("array<bigint>").alias("got")
     )
     # each try has fresh places, and one of a few digests fails once in cells ** 3: TRIES in a row don't; if they did, the query stops
     never = F.raise_error(F.lit("a fingerprint table can't be peeled"))
@@ -140,12 +149,12 @@ def groups(a: Column, b: Column) -> Column:
     """The digests of both texts in groups of about LOAD: runs of the sorted digests, in time that grows with their number."""
     count = F.ceil((F.size(a) + F.size(b)) / LOAD).cast("long")
 
-    def signed(v: Column, sign: int) -> Column:
-        return F.transform(v, lambda k: F.struct(k.alias("k"), F.lit(sign).alias("n")))
+    def signed(v: Column, side: int) -> Column:
+        return F.transform(v, lambda k: k * 2 + side)
 
     def run(all_: Column) -> Column:
         def group(i: Column) -> Column:
-            return F.shiftright(F.shiftright(F.get(all_, i).k, 16) * count, 32)
+            return F.shiftright(F.shiftright(F.get(all_, i), 17) * count, 32)
 
         last = F.size(all_)
         ends = F.filter(F.sequence(F.lit(1), last), lambda i: (i == last) | (group(i) != group(i - 1)))
@@ -154,18 +163,18 @@ def groups(a: Column, b: Column) -> Column:
             def of(i: Column) -> Column:
                 begin = F.when(i == 0, F.lit(0)).otherwise(F.get(to, i - 1))
                 own = F.slice(all_, begin + 1, F.get(to, i) - begin)
-                return _let(own, lambda z: F.struct(*(_side(z, s).alias(n) for n, s in (("a", 1), ("b", -1)))))
+                return _let(own, lambda z: F.struct(*(_side(z, s).alias(n) for n, s in (("a", 0), ("b", 1)))))
 
             return F.transform(F.sequence(F.lit(0), F.size(to) - 1), of)
 
         return _let(ends, cut)
 
     none = F.array().cast("array<struct<a:array<bigint>,b:array<bigint>>>")
-    return F.when(F.size(a) + F.size(b) == 0, none).otherwise(_let(F.array_sort(F.concat(signed(a, 1), signed(b, -1))), run))
+    return F.when(F.size(a) + F.size(b) == 0, none).otherwise(_let(F.sort_array(F.concat(signed(a, 0), signed(b, 1))), run))
 
 
-def _side(own: Column, sign: int) -> Column:
-    return F.transform(F.filter(own, lambda x: x.n == sign), lambda x: x.k)
+def _side(own: Column, side: int) -> Column:
+    return F.transform(F.filter(own, lambda v: v.bitwiseAND(1) == side), lambda v: F.shiftright(v, 1))
 
 
 def differing(a: Column, b: Column) -> Column:
@@ -185,8 +194,7 @@ def printed(digests: Column) -> Column:
     A cell has nine bytes: its count modulo 256, six bytes of digests, two of checks."""
 
     def cell(z: Column) -> Column:
-        digits = ((F.pmod(z.n, F.lit(256)), 2), (z.k, 12), (z.c, 4))
-        return F.concat(*(F.lpad(F.hex(v), w, "0") for v, w in digits))
+        return F.concat(F.lpad(F.hex(F.pmod(z.n, F.lit(256))), 2, "0"), F.lpad(F.hex(z.v), 16, "0"))
 
     def spelled(g: Column) -> Column:
         cells = F.transform(settled(g.a, g.b).t, cell)
