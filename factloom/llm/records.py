@@ -3,8 +3,9 @@
 A record is `uint64 length | uint32 masked checksum of the length | payload | uint32 masked checksum
 of the payload`; the payload is the int64 doc_id followed by the ids, two bytes each where the
 vocabulary fits, else four. `<name>.idx` holds per record `uint64 offset | uint64 ids before it in
-the file | int64 doc_id | uint32 ids`, so a shuffled reader can seek to any record. Files follow
-ascending doc_id (nulls first, then by text), one for each range partition.
+the file | int64 doc_id | uint32 ids`; fetch() seeks by it to records in any order. Files follow
+ascending doc_id (nulls first, then by a hash of the text), one for each range partition, so rows that
+repeat an id, or have none, are dealt by their texts.
 
 Recovery: a task writes files under a name of its own attempt, and only the manifest, a Parquet table
 committed by Spark, says which files count; a repeated or speculative task leaves at most an unread file.
@@ -194,21 +195,69 @@ def write(df: DataFrame, folder: str, path: str, end_id: int = 0, special: bool
     store.create_dir(base, recursive=True)
     ordered = (
         df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        .withColumn("h", F.xxhash64("text"))
+        .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("h"))
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "h", "text")
+        .drop("h")
     )
     ordered.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Every record of the files: doc_id, start (ids of all records before it), ids (uint32, little-endian).
+def files_of(spark: SparkSession, folder: str) -> list[tuple[str, int, int, int]]:
+    """Each file's name, ids before it, width, records before it.
 
-    The manifest has one short row for each file; its running total is taken on the driver."""
-    rows, start = [], 0
+    The manifest has one short row for each file; its running totals are taken on the driver."""
+    rows, start, records = [], 0, 0
     for r in sorted(spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").collect(), key=lambda r: r["part"]):
-        rows.append((r["name"], start, r["width"]))
+        rows.append((r["name"], start, r["width"], records))
         start += r["ids"]
+        records += r["records"]
+    return rows
+
+
+def fetch(spark: SparkSession, folder: str, picks: DataFrame, record: str = "record") -> DataFrame:
+    """The records at the given numbers (0 for the first of all files), in the picks' own order: record, doc_id, start, ids.
+
+    Each pick is two seeks, in the index and in the file. A number that is null or beyond the files is an error."""
+    found = files_of(spark, folder)
+    before = np.array([f[3] for f in found], np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _store(folder)
+        for b in batches:
+            numbers = b.column(0).to_pylist()
+            if any(n is None or n < 0 for n in numbers) or (numbers and not found):
+                raise ValueError("no record has such a number")
+            file = np.searchsorted(before, np.array(numbers, np.int64), "right") - 1
+            rows: list[tuple] = [()] * len(numbers)
+            for k in np.unique(file).tolist():
+                name, first, width, low = found[k]
+                with store.open_input_file(f"{base}/{name}.idx") as index, store.open_input_file(f"{base}/{name}.rec") as data:
+                    for i in np.flatnonzero(file == k).tolist():
+                        index.seek((numbers[i] - low) * _INDEX.itemsize)
+                        entry = index.read(_INDEX.itemsize)
+                        if len(entry) < _INDEX.itemsize:
+                            raise ValueError("no record has such a number")
+                        offset, ahead, doc_id, n = np.frombuffer(entry, _INDEX)[0].tolist()
+                        data.seek(offset)
+                        payload = unframed(data.read(24 + n * width), 0)
+                        if struct.unpack("<q", payload[:8])[0] != doc_id:
+                            raise ValueError(f"{name}: index and record differ at {offset}")
+                        ids = np.frombuffer(payload, f"<u{width}", offset=8).astype("<u4").tobytes()
+                        rows[i] = (numbers[i], None if doc_id == NO_ID else doc_id, first + ahead, ids)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], names=["record", "doc_id", "start", "ids"]
+            )
+
+    small_batches(spark)
+    return picks.select(F.col(record).cast("long").alias("record")).mapInArrow(run, f"record long, {ROWS}")
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record of the files: doc_id, start (ids of all records before it), ids (uint32, little-endian)."""
+    rows = [f[:3] for f in files_of(spark, folder)]
     if not rows:
         return spark.createDataFrame([], ROWS)
 
