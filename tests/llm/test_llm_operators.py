@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from factloom.llm import (
-    bpe, decontaminate, fingerprints, language, neardup, pieces, quality, records, shards, toxicity, urlfilter, words,
+    bpe, decontaminate, fingerprints, labelled, language, neardup, pieces, quality, records, shards, toxicity, urlfilter, words,
 )
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -101,6 +101,11 @@ def test_records_round_trip(spark, docs, texts):
         ids = np.array([*tok.encode(t, add_special_tokens=False).ids, 0], "<u4")
         assert (r.doc_id, r.start, bytes(r.ids)) == (None if i < 0 else i, start, ids.tobytes())
         start += len(ids)
+    order = np.random.default_rng(8).permutation(np.arange(len(got)).repeat(2)).tolist()
+    picked = records.fetch(spark, folder, spark.createDataFrame([(i,) for i in order], "record long").coalesce(1)).collect()
+    assert [(r.record, r.doc_id, r.start, r.ids) for r in picked] == [(i, *got[i]) for i in order]
+    with pytest.raises(Exception, match="no record has such a number"):
+        records.fetch(spark, folder, spark.createDataFrame([(len(got),)], "record long")).collect()
     empty = records.new_folder(spark)
     records.write(docs.limit(0), empty, path)
     assert records.read(spark, empty).count() == 0
@@ -365,6 +370,58 @@ def test_pairs_of_neutral_terms_decide():
     assert whole > 0.98 and right(model) < 0.8
 
 
+def test_quality_scores_match_sums_of_bins():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 4)).round(1)
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)  # decided by a pair
+    model = quality.fit(x[:400], y[:400])
+    for row, score in zip(x, model.score(x), strict=True):
+        z = model.prior + sum(t[sum(e <= v for e in edges)] for v, edges, t in zip(row, model.edges, model.tables, strict=True))
+        z += sum(t[sum(e <= row[a] for e in model.coarse[a]), sum(e <= row[b] for e in model.coarse[b])] for a, b, t in model.pairs)
+        assert abs(score - 1 / (1 + np.exp(-z))) < 1e-9
+    assert ((model.score(x[400:]) >= 0.5) == y[400:]).mean() > 0.9
+    model.pairs = []
+    assert ((model.score(x[400:]) >= 0.5) == y[400:]).mean() < 0.8
+
+
+def test_quality_trees_take_the_best_cut():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        g, h = rng.normal(size=9), rng.random(9) + 3
+        gain = lambda a, b: g[a:b].sum() ** 2 / (h[a:b].sum() + 2.0)  # noqa: E731, B023
+        first = max(range(1, 9), key=lambda c: gain(0, c) + gain(c, 9))
+        ends = [0, first, 9]
+        for low, high in ((0, first), (first, 9)):
+            if high - low > 1:
+                best = max(range(low + 1, high), key=lambda c: gain(low, c) + gain(c, high))
+                if gain(low, best) + gain(best, high) > gain(low, high) + 1e-9:
+                    ends.append(best)
+        ends.sort()
+        want = np.concatenate([np.full(b - a, g[a:b].sum() / (h[a:b].sum() + 2.0)) for a, b in zip(ends, ends[1:], strict=False)])
+        assert np.allclose(quality._tree(g, h, 2.0, 0.0), want)
+
+
+def test_toxicity_scores_match_sums_over_pairs():
+    docs = [prose(i, 30) + (" nasty rotten" if i % 3 == 0 else " nasty" if i % 3 == 1 else " rotten") for i in range(120)]
+    y = np.array([float(i % 3 == 0) for i in range(120)])
+    doc, b = toxicity.buckets(docs)
+    model = toxicity.fit([b[doc == i].astype(np.int32) for i in range(120)], y)
+    assert len(model.weight) > 1
+    for text, score in zip(docs, model.score(docs), strict=True):
+        own = {toxicity.bucket(t) for token in text.split() for t in toxicity.terms(token)}
+        own = [int(model.place[k]) for k in own if model.place[k] >= 0]
+        z = model.bias + sum(model.weight[i] for i in own) + sum(model.vector[i] @ model.vector[j] for i, j in combinations(own, 2))
+        assert abs(score - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_a_repeated_id_is_one_labelled_row(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (3, "c"), (None, "d")] + [(6, "e")] * 50, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in (1, 3, 6)] + [(None, 1)], "doc_id long, y int")
+    kept = {i for i in (1, 3, 6) if zlib.crc32(str(i).encode()) % 3 != 1}
+    got = labelled.sample(docs, marks, "y", 10).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted((i, {1: "a", 3: "c", 6: "e"}[i]) for i in kept)
+
+
 def test_scores_of_blank_and_repeated_texts(spark):
     docs, labels, _ = classifier_rows(spark)
     for module, column in ((quality, "text"), (toxicity, "other")):
@@ -396,6 +453,82 @@ def test_leaks_and_slots(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == decontaminate.leaks(docs.limit(0), bench).count() == 0
 
 
+def template_windows(text):
+    """(pos, form, template, slots) of every window of five tokens, by the rules in words."""
+    tokens, start = [], True
+    for line in text.split("\n"):
+        for raw in line.split():
+            core = raw.strip(decontaminate._EDGE)
+            if core:
+                tokens.append((core, start))
+            start = raw.rstrip("\"')]}*#&|_~`").endswith((".", "!", "?"))
+        start = True
+    kinds = []
+    for i, (core, start) in enumerate(tokens):
+        number = re.fullmatch(r"[+\-$€£]?\d[\d.,:/]*(?:%|[a-z]{1,3})?", core.lower()) is not None
+        unit = not number and core.lower() in decontaminate.UNITS and i > 0 and kinds[i - 1] == "number"
+        kinds.append("number" if number else "unit" if unit else "name" if core[0].isupper() and not start else "word")
+    for i in range(len(tokens) - 4):
+        part = list(zip((t for t, _ in tokens[i : i + 5]), kinds[i : i + 5], strict=True))
+        names = any(k == "name" for _, k in part)
+        for form, held in (("folded" if names else "plain", {"number", "unit"}), *([("named", {"number", "unit", "name"})] if names else [])):
+            if any(k not in held for _, k in part):
+                yield i, form, tuple((k,) if k in held else t.lower() for t, k in part), [t for t, k in part if k in held]
+
+
+def brute_leaks(docs, items):
+    found = {}
+    for (d, text), (item, question) in ((a, b) for a in docs for b in items):
+        ours, theirs, lines = list(template_windows(text)), list(template_windows(question)), {}
+        for pos, form, template, slots in ours:
+            for place, other, same, values in theirs:
+                if template == same:
+                    both = form == other == "plain"
+                    for f in ("named", "folded") if both else ("named",) if form == "named" else ("folded",):
+                        lines.setdefault((f, pos - place), []).append((place, list(zip(values, slots, strict=True))))
+        covered, long = set(), False
+        for (form, _), line in lines.items():
+            pairs = {(a.lower(), b.lower()) if form == "folded" else (a, b) for _, p in line for a, b in p}
+            verbatim = {place for place, p in line if all(a.lower() == b.lower() for a, b in p)}
+            run = any(all(place + k in verbatim for k in range(9)) for place in verbatim)
+            long |= run
+            if len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}):
+                covered |= {place for place, _ in line}
+            elif run:
+                covered |= verbatim
+        n = len({place for place, *_ in theirs})
+        if n and (long or len(covered) / n >= 0.8):
+            found[d, item] = len(covered) / n
+    return found
+
+
+def test_leaks_match_brute_force(spark):
+    rng = np.random.default_rng(12)
+    names, units = ["Tom", "Ann", "Bob", "Eve", "Rome"], ["km", "kg", "hours"]
+
+    def question(seed):
+        words = prose(seed, 24).split()
+        for k in rng.choice(24, 7, replace=False).tolist():
+            words[k] = [str(rng.integers(2, 6)), str(rng.integers(2, 6)) + " " + rng.choice(units), rng.choice(names)][k % 3]
+        return " ".join(words)
+
+    items = [(i, question(i)) for i in range(12)]
+    docs = []
+    for i in range(150):
+        words = items[i % 12][1].split()
+        change = dict(zip("23456", rng.permutation(list("56789")), strict=True)) | dict(zip(names, rng.permutation(names), strict=True))
+        kind = i % 6
+        if kind in (0, 1, 2):
+            words = [change.get(w.rstrip("."), w.rstrip(".")) + w[len(w.rstrip(".")) :] for w in words]
+        for k in rng.choice(len(words), [0, 1, 2, 0, 1, 3][kind], replace=False).tolist():
+            words[k] = str(rng.choice(["7", "stone", "Eve", "km"]))
+        text = " ".join(words)
+        docs.append((i, f"{prose(i + 99, 15)}\n{[text, text.upper(), text.lower()][i % 7 % 3]} {prose(i, 9)}"))
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got, want = {(r.doc_id, r.item_id): r.coverage for r in got.collect()}, brute_leaks(docs, items)
+    assert got == want and 30 < len(want) < 150
+
+
 def test_leaks_whatever_the_case(spark):
     text = "Tom buys 3 apples and gives Ann 3 pears on the 5 km road to Rome and Straßburg today"
     bench = spark.createDataFrame([(1, text), (2, text.upper())], "item_id long, text string")
@@ -475,7 +608,9 @@ def test_matrix_margins_and_law():
     assert abs(got.mean() - need * 0.06) < 40 and abs(got.std() - np.sqrt(need * 0.06 * 0.94)) < 25
 
 
-def test_url_lists(spark):
+@pytest.mark.parametrize("sent", [urlfilter.SENT, 0])
+def test_url_lists(spark, monkeypatch, sent):
+    monkeypatch.setattr(urlfilter, "SENT", sent)  # 0: the list is shuffled
     entries = spark.createDataFrame(
         [
             ("domain", "bad.org", "block", "2024-01-10", "add", 0), ("domain", "bad.org", "block", "2024-02-01", "remove", 1),
