@@ -13,18 +13,19 @@ SCOPE = ("tenant_id", "project_id", "environment")
 def matches(facts: DataFrame, bindings: DataFrame, on: Sequence[str], fact_id: str, instance: str | None = None) -> DataFrame:
     """Every fact with `n_matches` bindings and, where exactly one matched, its `binding_id`.
 
-    Equal keys, and the same instance where the binding names one. Bindings are counted for each fact
-    by an aggregate that combines before the exchange."""
-    b = bindings.select(*on, F.col("binding_id").alias("_b"), *([F.col(instance).alias("_i")] if instance else []))
+    Equal keys, and the same instance where the binding names one. Bindings are counted by their keys (and
+    instance) before they meet facts, so a fact meets at most one row of each kind: nothing fans out or is regrouped."""
+    counts = [F.count("binding_id").alias("n"), F.max("binding_id").alias("b")]
     f = facts.select(fact_id, *on, *([instance] if instance else []))
-    joined = f.join(b, list(on), "left")
-    hit = F.col("_b").isNotNull()
+    free = bindings.where(F.col(instance).isNull()) if instance else bindings
+    met = f.join(free.groupBy(*on).agg(*counts).withColumnsRenamed({"n": "_n0", "b": "_b0"}), list(on), "left")
+    n, found = F.coalesce("_n0", F.lit(0)), F.col("_b0")
     if instance:
-        hit = hit & (F.col("_i").isNull() | F.col("_i").eqNullSafe(F.col(instance)))
-    counted = joined.groupBy(fact_id).agg(
-        F.count_if(hit).alias("n_matches"), F.max(F.when(hit, F.col("_b"))).alias("binding_id")
-    )
-    return counted.withColumn("binding_id", F.when(F.col("n_matches") == 1, F.col("binding_id")))
+        keys = [*on, instance]
+        own = bindings.where(F.col(instance).isNotNull()).groupBy(*keys).agg(*counts).withColumnsRenamed({"n": "_n1", "b": "_b1"})
+        met = met.join(own, keys, "left")
+        n, found = n + F.coalesce("_n1", F.lit(0)), F.coalesce("_b0", "_b1")
+    return met.select(fact_id, *on, n.alias("n_matches"), F.when(n == 1, found).alias("binding_id"))
 
 
 def claim_status(claims: Column, refs: Column) -> Column:

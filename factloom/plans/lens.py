@@ -150,8 +150,7 @@ def closure_selected(spark, d):
 
 @_query(_J2 + "SELECT l_orderkey AS task, count(*) AS n_foreign FROM m WHERE n <> 1 GROUP BY l_orderkey")
 def closure_foreign(spark, d):
-    task = F.split("fact_id", "-")[0].cast("long").alias("task")
-    return _matches(spark, d)[0].where("n_matches <> 1").groupBy(task).agg(F.count("*").alias("n_foreign"))
+    return _matches(spark, d)[0].where("n_matches <> 1").groupBy("task").agg(F.count("*").alias("n_foreign"))
 
 
 @_query(_J2 + "SELECT o_orderkey AS binding_id FROM orders WHERE NOT EXISTS (SELECT 1 FROM m WHERE n = 1 AND b = o_orderkey)")
